@@ -7,9 +7,10 @@ messages. A message resolved by one stage is not looked at by the next.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallyboard.functions.keys import label_prompt, label_query, validated_label
@@ -117,10 +118,11 @@ def url_categories_by_join(urls: DataFrame, rules: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("uses", "at", "gram", "plen", "category")).alias("anchor"))
         .select("pattern", "anchor.at", "anchor.gram", "anchor.plen", "anchor.category")
     )
-    lengths = F.array(F.lit(1), F.lit(2), F.lit(LONGEST_GRAM))
+    # At most three values; URLs offer only the lengths the dictionary uses.
+    lengths = [row.gram_len for row in sized.select("gram_len").distinct().collect()]
     offered = (
         urls.where(F.col("url") != "")
-        .select("url", F.explode(lengths).alias("gram_len"))
+        .select("url", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("gram_len"))
         .where(F.char_length("url") >= F.col("gram_len"))
         .select(
             "url",
@@ -147,53 +149,62 @@ def url_strategy(pattern_count: int | None) -> str:
     return EXPRESSION if pattern_count <= EXPRESSION_PATTERNS else MATCHER
 
 
+class Rules(NamedTuple):
+    """The effective dictionary, and its rows where they fit the bound."""
+
+    frame: DataFrame
+    rows: list[Row] | None
+
+    def of(self, kind: str) -> Rules:
+        frame = self.frame.where(F.col("kind") == kind).select("pattern", "category")
+        rows = None if self.rows is None else [row for row in self.rows if row.kind == kind]
+        return Rules(frame, rows)
+
+
+def load_rules(category_patterns: DataFrame) -> Rules:
+    """Measure the dictionary and fetch it, once, if it is small enough."""
+    effective = effective_patterns(pattern_dictionary(category_patterns))
+    return Rules(effective, bounded_rows(effective, DICTIONARY_BOUND))
+
+
 def with_url_category(
-    messages: DataFrame, url_rules: DataFrame, strategy: str | None = None, probe: Column | None = None
+    messages: DataFrame, rules: Rules, strategy: str | None = None, probe: Column | None = None
 ) -> DataFrame:
     """Add ``url_category``. ``probe`` is the URL to look up, null to skip the row."""
     probe = F.col("url") if probe is None else probe
-    rows = None if strategy == JOIN else bounded_rows(url_rules, DICTIONARY_BOUND)
-    strategy = strategy or url_strategy(None if rows is None else len(rows))
-    if strategy == JOIN:
+    found = rules.of(URL)
+    strategy = strategy or url_strategy(None if found.rows is None else len(found.rows))
+    if strategy == JOIN or found.rows is None:
         probed = messages.withColumn("url_probe", F.nullif(probe, F.lit("")))
-        distinct = probed.where(F.col("url_probe").isNotNull()).select(F.col("url_probe").alias("url")).distinct()
-        found = url_categories_by_join(distinct, url_rules).withColumnRenamed("url", "url_probe")
-        return attach_by_shuffle(probed, found, ["url_probe"]).drop("url_probe")
-    rules = [(row.pattern, row.category) for row in rows]
-    if strategy == EXPRESSION or not rules:
-        return messages.withColumn("url_category", url_category_expression(probe, rules))
-    return messages.withColumn("url_category", url_category_matcher(rules)(probe))
+        urls = probed.where(F.col("url_probe").isNotNull()).select(F.col("url_probe").alias("url"))
+        matched = url_categories_by_join(urls.distinct(), found.frame).withColumnRenamed("url", "url_probe")
+        return attach_by_shuffle(probed, matched, ["url_probe"]).drop("url_probe")
+    pairs = [(row.pattern, row.category) for row in found.rows]
+    if strategy == EXPRESSION or not pairs:
+        return messages.withColumn("url_category", url_category_expression(probe, pairs))
+    return messages.withColumn("url_category", url_category_matcher(pairs)(probe))
 
 
 def classify_url(messages: DataFrame, category_patterns: DataFrame, strategy: str | None = None) -> DataFrame:
-    return with_url_category(messages, url_rules(category_patterns), strategy)
+    return with_url_category(messages, load_rules(category_patterns), strategy)
 
 
 # ---- App matching -----------------------------------------------------------
 
 
-def app_rules(category_patterns: DataFrame) -> DataFrame:
-    rules = effective_patterns(pattern_dictionary(category_patterns))
-    return rules.where(F.col("kind") == APP).select("pattern", "category")
-
-
-def url_rules(category_patterns: DataFrame) -> DataFrame:
-    rules = effective_patterns(pattern_dictionary(category_patterns))
-    return rules.where(F.col("kind") == URL).select("pattern", "category")
-
-
-def with_app_category(messages: DataFrame, rules: DataFrame) -> DataFrame:
+def with_app_category(messages: DataFrame, rules: Rules) -> DataFrame:
     """Add ``app_category``: the lower-cased app equals a pattern as stored."""
-    keyed = rules.select(F.col("pattern").alias("app_probe"), F.col("category").alias("app_category"))
+    found = rules.of(APP)
+    frame = found.frame if found.rows is None else local_frame(found.frame, found.rows)
+    keyed = frame.select(F.col("pattern").alias("app_probe"), F.col("category").alias("app_category"))
     probed = messages.withColumn("app_probe", F.lower("app"))
-    rows = bounded_rows(keyed, DICTIONARY_BOUND)
-    if rows is None:
+    if found.rows is None:
         return attach_by_shuffle(probed, keyed, ["app_probe"]).drop("app_probe")
-    return probed.join(F.broadcast(local_frame(keyed, rows)), "app_probe", "left").drop("app_probe")
+    return probed.join(F.broadcast(keyed), "app_probe", "left").drop("app_probe")
 
 
 def classify_app(messages: DataFrame, category_patterns: DataFrame) -> DataFrame:
-    return with_app_category(messages, app_rules(category_patterns))
+    return with_app_category(messages, load_rules(category_patterns))
 
 
 # ---- Learned labels ---------------------------------------------------------
@@ -211,7 +222,9 @@ def with_label_category(
 ) -> DataFrame:
     """Add ``label_category`` by query string. ``probe`` null skips the row."""
     query = label_query(F.col("app"), F.col("title"), F.col("url")) if probe is None else probe
-    return attach(messages.withColumn("query", query), settled_labels(learned_labels), ["query"]).drop("query")
+    keyed = settled_labels(learned_labels)
+    # The stored table is no smaller than its settled form, and cheaper to measure.
+    return attach(messages.withColumn("query", query), keyed, ["query"], measured=learned_labels).drop("query")
 
 
 # ---- The cascade ------------------------------------------------------------
@@ -224,9 +237,10 @@ def classify(
     url_match: str | None = None,
 ) -> DataFrame:
     """Add ``category``, ``method`` and ``is_llm`` to messages with app, title and url."""
-    staged = with_app_category(messages, app_rules(category_patterns))
+    rules = load_rules(category_patterns)
+    staged = with_app_category(messages, rules)
     unmatched = F.when(F.col("app_category").isNull(), F.col("url"))
-    staged = with_url_category(staged, url_rules(category_patterns), url_match, probe=unmatched)
+    staged = with_url_category(staged, rules, url_match, probe=unmatched)
     if learned_labels is None:
         staged = staged.withColumn("label_category", F.lit(None).cast("string"))
     else:

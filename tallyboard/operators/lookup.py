@@ -90,10 +90,15 @@ def attach(
     keyed: DataFrame,
     keys: Sequence[str],
     bound: BroadcastBound = DEFAULT_BOUND,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """``fact`` left-joined to ``keyed``, which has at most one row per key."""
+    """``fact`` left-joined to ``keyed``, which has at most one row per key.
+
+    ``measured`` is a stored table at least as large as ``keyed``, where ``keyed``
+    itself would have to be computed to be measured.
+    """
     keys = list(keys)
-    if within_bound(keyed, bound):
+    if within_bound(keyed if measured is None else measured, bound):
         return fact.join(F.broadcast(keyed), keys, "left")
     return attach_by_shuffle(fact, keyed, keys)
 

@@ -44,6 +44,23 @@ def unmatchable_patterns(dictionary: DataFrame) -> DataFrame:
     return dictionary.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
+def dictionary_counters(category_patterns: DataFrame) -> DataFrame:
+    """One row: documents, distinct categories, and stored, effective and unmatchable patterns."""
+    documents = category_patterns.agg(
+        F.count(F.lit(1)).alias("documents"), F.count_distinct("category").alias("categories")
+    )
+    dictionary = pattern_dictionary(category_patterns)
+    counted = [
+        rows.agg(F.count(F.lit(1)).alias(name))
+        for name, rows in (
+            ("patterns", dictionary),
+            ("effective_patterns", effective_patterns(dictionary)),
+            ("unmatchable_patterns", unmatchable_patterns(dictionary)),
+        )
+    ]
+    return documents.select("*", *[one.scalar().alias(one.columns[0]) for one in counted])
+
+
 def add_patterns(category_patterns: DataFrame, additions: DataFrame) -> DataFrame:
     """Append new patterns to a category's lists, skipping those already there.
 

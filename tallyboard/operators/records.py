@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyboard.functions.keys import id_or_derived, valid_id
-from tallyboard.operators.lookup import attach
 from tallyboard.schemas import CATEGORIZED_DATA, USAGE_LOGS, ZERO_ID
 
 NATURAL_KEY = ["app", "url", "title"]
@@ -137,11 +136,15 @@ def latest_per_id(messages: DataFrame, record_id: str, value: str) -> DataFrame:
 
 
 def set_by_id(table: DataFrame, id_column: str, target: str, updates: DataFrame) -> DataFrame:
-    """``table`` with ``target`` replaced where ``updates`` (record_id, target, …) has the row's id."""
+    """``table`` with ``target`` replaced where ``updates`` (record_id, target, …) has the row's id.
+
+    Ids are unique on both sides, so no key is hot, and whether the updates are
+    few enough to broadcast is left to Spark's own size statistics.
+    """
     changes = updates.select(
         F.col("record_id").alias(id_column), F.col(target).alias("updated_value")
     )
-    joined = attach(table, changes, [id_column])
+    joined = table.join(changes, id_column, "left")
     return joined.withColumn(target, F.coalesce("updated_value", target)).select(*table.columns)
 
 

@@ -15,11 +15,11 @@ from tallyboard.operators import patterns as pt
 from tallyboard.operators import records as rec
 from tallyboard.operators.sessions import session_scores
 from tallyboard.plans import inputs
+from tallyboard.schemas import DAILY_TOTALS, MESSAGES
 from tallyboard.session import configure, new_run_dir
 from tallyboard.sources.messages import normalize
 from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
 from tallyboard.streaming import pipeline as pl
-from tallyboard.schemas import MESSAGES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +120,11 @@ def pattern_add(spark, sf_dir):
     )
 
 
+@query
+def dictionary_counters(spark, sf_dir):
+    return pt.dictionary_counters(inputs.site_patterns(spark, sf_dir))
+
+
 @query
 def list_categories(spark, sf_dir):
     return pt.list_categories(inputs.site_patterns(spark, sf_dir))
@@ -247,7 +252,7 @@ def leaderboard_delta_rollup(spark, sf_dir):
         part = classified.where(F.col("seq") % 3 == batch_id)
         deltas = lb.daily_totals(lb.leaderboard_entries(part), CENTS)
         write_batch(deltas.withColumn("duration", F.col("duration").cast("double")), root, batch_id)
-    return lb.merge_deltas(read_batches(spark, root, pl.DAILY_DELTAS), CENTS)
+    return lb.merge_deltas(read_batches(spark, root, DAILY_TOTALS), CENTS)
 
 
 @query
@@ -375,6 +380,13 @@ def stream_session_scores(spark, sf_dir):
     return pl.current_session_scores(spark, _streamed(spark, sf_dir)).drop("batch_id")
 
 
+@query
+def stream_open_keys(spark, sf_dir):
+    """Keys the stream could not resolve and nobody has answered yet."""
+    sinks = _streamed(spark, sf_dir)
+    return pl.open_keys(spark, sinks, inputs.learned_labels(spark, sf_dir)).select("query", "prompt")
+
+
 @query
 def batch_metrics(spark, sf_dir):
     return pl.current_metrics(spark, _streamed(spark, sf_dir)).drop("batch_id")

@@ -139,7 +139,7 @@ def stream_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_patterns(spark: SparkSession) -> DataFrame:
     rows = [(f"{ord_:024x}", category, apps, urls, ord_) for ord_, category, apps, urls in CATEGORY_DOCUMENTS]
-    return spark.createDataFrame(rows, CATEGORY_PATTERNS)
+    return spark.createDataFrame(rows, CATEGORY_PATTERNS).coalesce(1)
 
 
 def site_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:

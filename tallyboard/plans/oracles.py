@@ -225,6 +225,9 @@ _LOGS_UPDATED = """
          g.session_no, g.session_minutes, g.session_date, g.ts_epoch, g.duration
   FROM logs g LEFT JOIN with_id w ON w.usage_log_id = g.usage_log_id"""
 
+_OPEN_KEY = """'app: ' || lower(app) || ', title: ' || title || ', url: ' || url AS query,
+       'Application: ' || lower(app) || chr(10) || 'Title: ' || title || chr(10) || 'URL: ' || url AS prompt"""
+
 _SITE_RULES = f"{MESSAGES},{SITES},{DICTIONARY},{URL_HITS}"
 _SITES_ONLY = f"{SITES},{DICTIONARY}"
 
@@ -277,6 +280,15 @@ WHERE (kind = 'app' AND lower(pattern) <> pattern) OR (kind = 'url' AND pattern
        string_agg(pattern, '|' ORDER BY place) FILTER (WHERE kind = 'app') AS app_patterns,
        string_agg(pattern, '|' ORDER BY place) FILTER (WHERE kind = 'url') AS domain_patterns
 FROM positions GROUP BY category_id""",
+        ),
+        "dictionary_counters": _sql(
+            _SITES_ONLY,
+            """SELECT (SELECT count(*) FROM patterns) AS documents,
+       (SELECT count(DISTINCT category) FROM patterns) AS categories,
+       (SELECT count(*) FROM dictionary) AS patterns,
+       (SELECT count(*) FROM rules) AS effective_patterns,
+       (SELECT count(*) FROM dictionary WHERE (kind = 'app' AND lower(pattern) <> pattern)
+        OR (kind = 'url' AND pattern = '')) AS unmatchable_patterns""",
         ),
         "list_categories": _sql(SITES, "SELECT category FROM patterns"),
         "category_to_id": _sql(
@@ -318,10 +330,10 @@ FROM classified GROUP BY method, is_llm, category""",
         ),
         "unresolved_keys": _sql(
             CLASSIFIED_LABELS,
-            """SELECT DISTINCT 'app: ' || lower(app) || ', title: ' || title || ', url: ' || url AS query,
-       lower(app) AS app, title, url,
-       'Application: ' || lower(app) || chr(10) || 'Title: ' || title || chr(10) || 'URL: ' || url AS prompt
-FROM classified WHERE method = 'none'""",
+            f"SELECT DISTINCT {_OPEN_KEY}, lower(app) AS app, title, url FROM classified WHERE method = 'none'",
+        ),
+        "stream_open_keys": _sql(
+            CLASSIFIED_STREAM, f"SELECT DISTINCT {_OPEN_KEY} FROM classified WHERE method = 'none'"
         ),
         "attach_category_id": _sql(
             f"{CLASSIFIED_LABELS},{WITH_ID}", "SELECT seq, category, category_id FROM with_id"

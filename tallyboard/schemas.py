@@ -133,6 +133,10 @@ USAGE_LOGS = _struct(
 
 LEARNED_LABELS = _struct(query=_S, label=_S)
 
+OPEN_KEYS = _struct(query=_S, app=_S, title=_S, url=_S, prompt=_S)
+
+DAILY_TOTALS = _struct(user_id=_S, category=_S, day=T.DateType(), duration=_D)
+
 LEADERBOARD = _struct(board=_S, period_kind=_S, period=_S, key=_S, user_id=_S, score=_D)
 
 SESSION_SCORES = _struct(user_id=_S, session_date=_S, session_no=_L)

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyboard.functions.keys import valid_id
-from tallyboard.operators.classify import attach_category_id, classify
+from tallyboard.operators.classify import attach_category_id, classify, label_keys, unresolved_keys
 from tallyboard.operators.leaderboard import (
     daily_totals,
     excluded_entry,
@@ -21,43 +20,50 @@ from tallyboard.operators.leaderboard import (
 )
 from tallyboard.operators.records import latest_per_id, set_by_id
 from tallyboard.operators.sessions import session_scores
-from tallyboard.schemas import BATCH_METRICS, CATEGORY_UPDATES, SESSION_SCORES
+from tallyboard.schemas import (
+    BATCH_METRICS,
+    CATEGORY_UPDATES,
+    DAILY_TOTALS,
+    OPEN_KEYS,
+    SESSION_SCORES,
+)
 from tallyboard.sources.messages import normalize
 from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
 from tallyboard.session import configure
 
-DAILY_DELTAS = T.StructType(
-    [
-        T.StructField("user_id", T.StringType()),
-        T.StructField("category", T.StringType()),
-        T.StructField("day", T.DateType()),
-        T.StructField("duration", T.DoubleType()),
-    ]
-)
-
-
 @dataclass(frozen=True)
 class Sinks:
     """Where a job writes. One folder per table, one sub-folder per micro-batch."""
 
     root: str
-    usage_log_updates: str = field(init=False)
-    categorized_updates: str = field(init=False)
-    leaderboard_deltas: str = field(init=False)
-    session_scores: str = field(init=False)
-    metrics: str = field(init=False)
-    checkpoint: str = field(init=False)
-
-    def __post_init__(self) -> None:
-        for name in (
-            "usage_log_updates",
-            "categorized_updates",
-            "leaderboard_deltas",
-            "session_scores",
-            "metrics",
-            "checkpoint",
-        ):
-            object.__setattr__(self, name, f"{self.root}/{name}")
+
+    @property
+    def usage_log_updates(self) -> str:
+        return f"{self.root}/usage_log_updates"
+
+    @property
+    def categorized_updates(self) -> str:
+        return f"{self.root}/categorized_updates"
+
+    @property
+    def leaderboard_deltas(self) -> str:
+        return f"{self.root}/leaderboard_deltas"
+
+    @property
+    def session_scores(self) -> str:
+        return f"{self.root}/session_scores"
+
+    @property
+    def to_label(self) -> str:
+        return f"{self.root}/to_label"
+
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/metrics"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.root}/checkpoint"
 
 
 @dataclass(frozen=True)
@@ -65,8 +71,8 @@ class UsageJob:
     """What one micro-batch does.
 
     The loaders run at the start of every batch, so a changed dictionary or new
-    labels apply from the next batch on without a restart. ``processor`` may
-    replace the batch function; ``scale`` makes totals exact to that many decimals.
+    labels apply from the next batch on without a restart. ``scale`` makes totals
+    exact to that many decimals.
     """
 
     sinks: Sinks
@@ -101,6 +107,7 @@ class UsageJob:
                 batch_id,
             )
             write_batch(session_scores(classified), self.sinks.session_scores, batch_id)
+            write_batch(unresolved_keys(classified), self.sinks.to_label, batch_id)
             write_batch(batch_metrics(classified), self.sinks.metrics, batch_id)
         finally:
             classified.unpersist()
@@ -145,30 +152,49 @@ def current_leaderboard(
 
     ``folded`` is a path written by ``fold_deltas`` for all batches up to ``after``.
     """
-    deltas = read_batches(spark, sinks.leaderboard_deltas, DAILY_DELTAS)
-    deltas = deltas.where(F.col("batch_id") > after).select(*DAILY_DELTAS.fieldNames())
+    deltas = read_batches(spark, sinks.leaderboard_deltas, DAILY_TOTALS)
+    deltas = deltas.where(F.col("batch_id") > after).select(*DAILY_TOTALS.fieldNames())
     if folded:
-        deltas = deltas.unionByName(spark.read.schema(DAILY_DELTAS).parquet(folded))
+        deltas = deltas.unionByName(spark.read.schema(DAILY_TOTALS).parquet(folded))
     return merge_deltas(deltas, scale)
 
 
 def fold_deltas(spark: SparkSession, sinks: Sinks, path: str, upto: int, scale: int | None = None) -> str:
     """Merge the deltas of all batches up to ``upto`` into one snapshot of daily totals."""
-    deltas = read_batches(spark, sinks.leaderboard_deltas, DAILY_DELTAS).where(F.col("batch_id") <= upto)
+    deltas = read_batches(spark, sinks.leaderboard_deltas, DAILY_TOTALS).where(F.col("batch_id") <= upto)
     amount = F.col("duration") if scale is None else F.col("duration").cast(f"decimal(18,{scale})")
     totals = deltas.groupBy("user_id", "category", "day").agg(F.sum(amount).cast("double").alias("duration"))
     return write_snapshot(totals, path)
 
 
-def current_updates(spark: SparkSession, root: str) -> DataFrame:
-    """The last category written for each record, over all batches."""
-    batches = read_batches(spark, root, CATEGORY_UPDATES)
+def current_updates(
+    spark: SparkSession, root: str, folded: str | None = None, after: int = -1
+) -> DataFrame:
+    """The last category written for each record, over all batches.
+
+    ``folded`` is a path written by ``fold_updates`` for all batches up to ``after``.
+    """
+    batches = read_batches(spark, root, CATEGORY_UPDATES).where(F.col("batch_id") > after)
+    if folded:
+        # Older than any batch still to be read.
+        old = spark.read.schema(CATEGORY_UPDATES).parquet(folded).withColumn("batch_id", F.lit(after))
+        batches = batches.unionByName(old)
+    return _last_updates(batches)
+
+
+def _last_updates(batches: DataFrame) -> DataFrame:
     last = batches.groupBy("record_id").agg(
         F.max(F.struct("batch_id", "seq", "category_id")).alias("last")
     )
     return last.select("record_id", "last.category_id", "last.seq")
 
 
+def fold_updates(spark: SparkSession, root: str, path: str, upto: int) -> str:
+    """Merge the updates of all batches up to ``upto`` into one snapshot."""
+    batches = read_batches(spark, root, CATEGORY_UPDATES).where(F.col("batch_id") <= upto)
+    return write_snapshot(_last_updates(batches), path)
+
+
 def current_usage_logs(spark: SparkSession, usage_logs: DataFrame, sinks: Sinks) -> DataFrame:
     """Stored usage logs with the categories the stream has set so far."""
     updates = current_updates(spark, sinks.usage_log_updates)
@@ -176,10 +202,29 @@ def current_usage_logs(spark: SparkSession, usage_logs: DataFrame, sinks: Sinks)
 
 
 def current_categorized(spark: SparkSession, categorized_data: DataFrame, sinks: Sinks) -> DataFrame:
+    """Stored natural keys with the categories the stream has set so far."""
     updates = current_updates(spark, sinks.categorized_updates)
     return set_by_id(categorized_data, "categorized_data_id", "category_id", updates)
 
 
+def open_keys(spark: SparkSession, sinks: Sinks, learned_labels: DataFrame) -> DataFrame:
+    """Keys some batch could not resolve and that have no answer yet, each once."""
+    seen = read_batches(spark, sinks.to_label, OPEN_KEYS).select(*OPEN_KEYS.fieldNames()).distinct()
+    answered = learned_labels.where(F.col("label").isNotNull()).select("query").distinct()
+    return seen.join(answered, "query", "left_anti")
+
+
+def label_open_keys(
+    spark: SparkSession, sinks: Sinks, labels_root: str, run_id: int, labeller, load_labels: Callable[[], DataFrame]
+) -> None:
+    """Ask an external labeller for every open key and store its raw answers as one more label folder.
+
+    Runs beside the stream, which sees the answers from its next batch on.
+    """
+    answers = label_keys(open_keys(spark, sinks, load_labels()), labeller)
+    write_batch(answers, labels_root, run_id)
+
+
 def current_session_scores(spark: SparkSession, sinks: Sinks) -> DataFrame:
     return read_batches(spark, sinks.session_scores, SESSION_SCORES)
 

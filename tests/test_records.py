@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyboard.operators import lookup
 from tallyboard.operators import records as rec
 from tallyboard.schemas import CATEGORIZED_DATA, USAGE_LOGS, ZERO_ID
 from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
@@ -82,9 +81,7 @@ def test_last_value_per_id_wins_and_bad_ids_are_skipped(spark):
     assert {r.record_id: r.category_id for r in updates.collect()} == {hex_id(1): "Y", upper.lower(): "Q"}
 
 
-@pytest.mark.parametrize("bound", [lookup.DEFAULT_BOUND, lookup.BroadcastBound(0, 0)])
-def test_updates_change_stored_rows_only(spark, monkeypatch, bound):
-    monkeypatch.setattr(rec, "attach", lambda *args: lookup.attach(*args, bound))
+def test_updates_change_stored_rows_only(spark):
     table = logs(spark, (hex_id(1), "a", 1), (hex_id(2), "b", 1))
     updates = rec.latest_per_id(
         changes(spark, (0, hex_id(1), ZERO_ID), (1, hex_id(1), hex_id(70)), (2, hex_id(9), hex_id(70))),

@@ -11,9 +11,18 @@ from tallyboard.operators import classify as cl
 from tallyboard.operators import leaderboard as lb
 from tallyboard.operators import records as rec
 from tallyboard.operators.sessions import session_scores
-from tallyboard.schemas import CATEGORY_PATTERNS, RAW_MESSAGES, USAGE_LOGS, ZERO_ID
+from tallyboard.schemas import (
+    BATCH_METRICS,
+    CATEGORY_PATTERNS,
+    CATEGORY_UPDATES,
+    LEARNED_LABELS,
+    RAW_MESSAGES,
+    USAGE_LOGS,
+    ZERO_ID,
+)
 from tallyboard.sources.messages import drop_repeats, normalize, read_raw, stream_raw
-from tallyboard.sources.tables import write_batch
+from tallyboard.sources.tables import read_batches, write_batch
+from tallyboard.streaming import app
 from tallyboard.streaming import pipeline as pl
 
 FILES = 3
@@ -122,7 +131,7 @@ def test_stream_equals_batch_and_replays_safely(spark, source, tmp_path):
         assert tables(spark, job.sinks)[name] == want[name]
 
     before = tables(spark, job.sinks)
-    first = pl.read_batches(spark, job.sinks.metrics, pl.BATCH_METRICS).where("batch_id = 0").agg(F.sum("messages")).first()[0]
+    first = read_batches(spark, job.sinks.metrics, BATCH_METRICS).where("batch_id = 0").agg(F.sum("messages")).first()[0]
     assert first == 40
     job.run_available(stream(spark, source))  # nothing new
     assert tables(spark, job.sinks) == before
@@ -165,7 +174,7 @@ def test_dictionary_is_read_again_for_each_batch(spark, source, tmp_path):
     versions = iter([0, 100, 100])
     job = make_job(spark, tmp_path / "out", load_patterns=lambda: patterns(spark, next(versions)))
     job.run_available(stream(spark, source))
-    ids = pl.read_batches(spark, job.sinks.usage_log_updates, pl.CATEGORY_UPDATES).where(F.col("category_id") != ZERO_ID)
+    ids = read_batches(spark, job.sinks.usage_log_updates, CATEGORY_UPDATES).where(F.col("category_id") != ZERO_ID)
     by_batch = {r.batch_id: set(r.ids) for r in ids.groupBy("batch_id").agg(F.collect_set("category_id").alias("ids")).collect()}
     assert by_batch[0] <= {hex_id(i) for i in (1, 2, 3)}
     assert by_batch[1] | by_batch[2] <= {hex_id(i) for i in (101, 102, 103)}
@@ -202,3 +211,49 @@ def test_live_daily_usage(spark, source):
     got = spark.table("live_usage").where(finite).select("user_id", "day", "duration")
     want = lb.daily_totals(entries).where(finite).select("user_id", "day", "duration")
     assert rows_of(got) == rows_of(want)
+
+
+def test_labels_come_back_into_the_stream(spark, source, tmp_path):
+    """Open keys are answered outside the batch; the next batch uses the answers."""
+    labels_root = str(tmp_path / "labels")
+
+    def load_labels():
+        return read_batches(spark, labels_root, LEARNED_LABELS)
+
+    def labeller(batches):
+        for batch in batches:
+            yield batch.assign(label=["Game" if "safari" in p else None for p in batch.prompt])[["query", "label"]]
+
+    job = make_job(spark, tmp_path / "out", load_labels=load_labels)
+    raw = read_raw(spark, source, "json")
+    job.process(raw, 0)
+    before = {r.query for r in pl.open_keys(spark, job.sinks, load_labels()).collect()}
+    assert before == {
+        r.query for r in cl.unresolved_keys(cl.classify(normalize(raw), patterns(spark))).select("query").collect()
+    }
+    pl.label_open_keys(spark, job.sinks, labels_root, 0, labeller, load_labels)
+    after = {r.query for r in pl.open_keys(spark, job.sinks, load_labels()).collect()}
+    assert after == {q for q in before if "safari" not in q} and len(after) < len(before)
+    job.process(raw, 1)
+    by_label = pl.current_metrics(spark, job.sinks).where("method = 'label'")
+    assert [r.batch_id for r in by_label.collect()] == [1]
+
+
+def test_folded_updates_are_older_than_later_batches(spark, tmp_path):
+    root, schema = str(tmp_path / "u"), "record_id string, category_id string, seq bigint"
+    for batch_id, rows in enumerate(([("a", "1", 9), ("b", "1", 1)], [("a", "2", 3)], [("b", "3", 0)])):
+        write_batch(spark.createDataFrame(rows, schema), root, batch_id)
+    want = [("a", "2", 3), ("b", "3", 0)]
+    assert rows_of(pl.current_updates(spark, root)) == want
+    folded = pl.fold_updates(spark, root, str(tmp_path / "folded"), upto=1)
+    assert rows_of(spark.read.parquet(folded)) == [("a", "2", 3), ("b", "1", 1)]
+    assert rows_of(pl.current_updates(spark, root, folded, after=1)) == want
+
+
+def test_command_line_job(spark, source, tmp_path):
+    patterns(spark).write.parquet(str(tmp_path / "patterns"))
+    labels(spark).write.parquet(str(tmp_path / "labels" / "batch_id=0"))
+    argv = ["--messages", source, "--patterns", str(tmp_path / "patterns"), "--labels", str(tmp_path / "labels")]
+    app.main([*argv, "--out", str(tmp_path / "out"), "--once"])
+    got = tables(spark, pl.Sinks(str(tmp_path / "out")))
+    assert got == batch_tables(spark, source)
