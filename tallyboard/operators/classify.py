@@ -60,10 +60,11 @@ def url_category_expression(url: Column, rules: Sequence[tuple[str, str]]) -> Co
     if not ranked:
         return F.lit(None).cast("string")
     count = len(ranked)
-    # End position first, then rank: the longest pattern has rank 0.
+    # End position first, then rank: the longest pattern has rank 0. ``contains``
+    # compares bytes and is much cheaper than ``instr``, which then runs on hits only.
     scores = [
         F.when(
-            F.instr(url, pattern) > 0,
+            F.contains(url, F.lit(pattern)),
             (F.instr(url, pattern) + len(pattern)).cast("bigint") * count + rank,
         )
         for rank, (pattern, _) in enumerate(ranked)

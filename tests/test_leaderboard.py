@@ -98,7 +98,7 @@ def test_ranks(spark):
         try:
             got = {(r.key, r.user_id): r["rank"] for r in lb.rank_all(df).collect()}
         finally:
-            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.set("spark.sql.shuffle.partitions", "2")
             spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         assert got == want
     top = {(r.key, r.user_id): r["rank"] for r in lb.top_k(df, 3).collect()}
