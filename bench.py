@@ -23,7 +23,7 @@ HEADLINE = (
     "unresolved_keys",
     "stream_end_to_end",
 )
-RUNS = 2
+RUNS = 3
 
 
 def timed(query, spark, sf_dir) -> float:
@@ -48,7 +48,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.all_queries()
-    # The second run is the one without JIT and worker start-up.
+    # The best run is the one without JIT and worker start-up.
     seconds = {
         name: round(min(timed(queries[name], spark, sf_dir) for _ in range(RUNS)), 3) for name in HEADLINE
     }
