@@ -212,10 +212,14 @@ def classify_app(messages: DataFrame, category_patterns: DataFrame) -> DataFrame
 
 
 def settled_labels(learned_labels: DataFrame) -> DataFrame:
-    """One validated label per query string; a query without an answer has no row."""
+    """One validated label per query string; a query without an answer has no row.
+
+    Of several answers the one in the latest batch folder counts, if the table has those.
+    """
     answered = learned_labels.where(F.col("label").isNotNull())
-    one = answered.groupBy("query").agg(F.max("label").alias("label"))
-    return one.select("query", validated_label(F.col("label")).alias("label_category"))
+    order = ["batch_id"] if "batch_id" in learned_labels.columns else []
+    one = answered.groupBy("query").agg(F.max(F.struct(*order, "label")).alias("last"))
+    return one.select("query", validated_label(F.col("last.label")).alias("label_category"))
 
 
 def with_label_category(

@@ -160,6 +160,12 @@ def test_repeated_label_rows_do_not_repeat_messages(spark):
     assert [r.category for r in got] == ["Game", "Game"]
 
 
+def test_later_answers_replace_earlier_ones(spark):
+    rows = [("q", "Productivity", 0), ("q", "Finance", 1), ("q", None, 2), ("r", "AFK", 0)]
+    labels = spark.createDataFrame(rows, "query string, label string, batch_id bigint")
+    assert sorted(map(tuple, cl.settled_labels(labels).collect())) == [("q", "Finance"), ("r", "AFK")]
+
+
 def test_external_labeller_runs_once_per_key(spark):
     msgs = messages(spark, *[("A", "t", "u")] * 5, ("b", "", ""))
 
