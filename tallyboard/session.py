@@ -1,4 +1,4 @@
-"""Session settings the library relies on."""
+"""Session settings the library relies on, and its scratch folders."""
 
 from __future__ import annotations
 
@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Folders made for sessions that name none, by application; scratch folders in use, likewise.
+_own_folders: dict[str, str] = {}
+_run_dirs: dict[str, list[str]] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -33,19 +37,37 @@ def build_session(app_name: str = "tallyboard", master: str | None = None, **opt
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) is a local folder made
-    and set, so that later calls in the session agree on it.
+    A session that names none gets a temporary folder, but only where driver and
+    executors are one process; elsewhere other machines would not see its files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tallyboard-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallyboard-")
+    return _own_folders[context.applicationId]
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; ``remove_run_dirs`` deletes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _run_dirs.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_run_dirs(spark: SparkSession) -> int:
+    """Delete this application's scratch folders, once no frame that reads them is needed. Returns their number."""
+    paths = _run_dirs.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
+
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
