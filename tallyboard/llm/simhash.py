@@ -230,7 +230,7 @@ def _run_links(fps: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.
 
 
 def bucket_links(sigs: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Verified links within the runs of equal ``sigs`` (sorted), as two arrays."""
+    """Verified links within the runs of equal ``sigs`` (sorted), as two arrays; ``fps`` unsigned, as bits are counted."""
     if not len(sigs):
         return fps, fps
     starts = np.flatnonzero(np.concatenate(([True], sigs[1:] != sigs[:-1])))
@@ -297,8 +297,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
         sig, fp = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def done(upto: int) -> pa.RecordBatch:
-            a, b = bucket_links(sig[:upto], fp[:upto], max_bits)
-            ends = np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1)
+            a, b = bucket_links(sig[:upto], fp[:upto].view(np.uint64), max_bits)
+            ends = np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1).view(np.int64)
             ends = np.unique(ends, axis=0) if len(ends) else ends.reshape(0, 2)
             return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
