@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import chat, exact, simhash
+from tallyboard.llm import chat, decontaminate, exact, licences, mixing, quality, simhash, tokens, toxicity
 from tallyboard.llm.common import table
-from tallyboard.session import configure
+from tallyboard.session import configure, new_run_dir
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,14 +38,61 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_token_output(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    path = new_run_dir(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer or default_tokenizer())
+    return tokens.id_checksums(tokens.read_tokens(spark, path))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    lengths = tokens.token_lengths(table(spark, sf_dir, "documents"), tokenizer or default_tokenizer())
+    return tokens.length_histogram(lengths)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_token_output": op6_token_output,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_token_counts": op8_token_counts,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
 
 
@@ -67,7 +114,31 @@ _GROWN = "length({0}) + (length({0}) - length(replace({0}, '\\', '')))" + "".joi
     for mark in ("<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "</SYS>>")
 )
 
+_KNOWN = ", ".join(f"('{said}', '{name}')" for name, said in licences.SENTENCES.items())
+_LICENCES = ", ".join(
+    "CASE WHEN "
+    + " OR ".join(
+        f"contains(' ' || sentence_ids || ' ', ' {' '.join(r.sentences)} ')"
+        for r in licences.RULES
+        if r.licence == name
+    )
+    + f" THEN '{name}' END"
+    for name in dict.fromkeys(r.licence for r in licences.RULES)
+)
+
 ORACLES = {
+    "op3_license_scan": f"""
+        WITH sentences AS (
+            SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '\\n|[.!?;:](\\s|$)')) AS said,
+                generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), '\\n|[.!?;:](\\s|$)'), 1) AS place
+            FROM documents),
+        known(said, name) AS (VALUES {_KNOWN}),
+        found AS (
+            SELECT doc_id, string_agg(name, ' ' ORDER BY place) AS sentence_ids, count(*) AS n_sentences
+            FROM sentences s JOIN known k ON trim(regexp_replace(s.said, '[^a-z0-9]+', ' ', 'g')) = k.said
+            GROUP BY doc_id)
+        SELECT doc_id, sentence_ids, n_sentences, array_to_string([{_LICENCES}], ' ') AS licences
+        FROM found""",
     "op1_chat_format": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
