@@ -1,12 +1,86 @@
-"""The corpus pipeline; its stages follow."""
+"""The corpus pipeline: from raw documents to token files, one operator per stage.
+
+Every stage gets all rows that its predecessor kept and returns the columns of ``documents``, but the last,
+which returns the token rows. Extra columns pass through unchanged, whatever their names.
+A row without doc_id cannot be named by a decision: filters leave it in. Empty in, empty out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyboard.llm import decontaminate, mixing, quality, queries, simhash, tokens
+from tallyboard.llm.common import stored, table, without_ids
+from tallyboard.session import configure, new_run_dir
+
+QUALITY_THRESHOLD = 0.3
+
+
+def _named(documents: DataFrame) -> list:
+    return [F.col(f"`{name}`") for name in documents.columns]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble does not reject. A null text is judged as an empty one."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select(F.struct(*_named(docs)).alias("row"), F.col("text").alias("body")), model, "body")
+    return scored.where(F.col("quality_score") >= QUALITY_THRESHOLD).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id. Of rows that repeat an id one stays."""
+    found = simhash.near_duplicates(docs)
+    kept = without_ids(docs, found.where("doc_id <> component_id"))
+    repeated = stored(
+        docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
+    )
+    if repeated.isEmpty():
+        return kept
+    again = repeated.select(F.col("doc_id").alias("_again"))
+    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
+    return without_ids(kept, repeated).unionByName(once)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return without_ids(docs, stored(found.select("doc_id").distinct(), "contaminated"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix draws it: none, once or twice. Rows without an id are drawn alike."""
+    drawn = mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
+    decided = drawn.select(F.col("doc_id").alias("_mixed_id"), F.sequence(F.lit(1).cast("long"), "copies").alias("_times"))
+    joined = docs.select(F.struct(*_named(docs)).alias("_row"), F.col("doc_id").alias("_own_id")).join(
+        decided, F.col("_own_id").eqNullSafe(F.col("_mixed_id"))
+    )
+    return joined.select("_row", F.explode("_times")).select("_row.*")
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token rows read back from the files: doc_id, start, n_tokens, ids; in a shuffled order, copies apart."""
+    path = new_run_dir(spark, "tokens")
+    order = F.xxhash64("doc_id", F.monotonically_increasing_id())
+    tokens.write_tokens(docs, path, queries.default_tokenizer(), order=order)
+    return tokens.read_tokens(spark, path)
+
+
+STAGES = [
+    ("quality_classifier", keep_quality),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("source_mixing", mix_sources),
+    ("token_output", write_tokens),
+]
 
-STAGES: list = []
+#: Fitted rules, Hamming links and tokenizers have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written as Parquet and read again."""
+    docs = table(configure(spark), sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
