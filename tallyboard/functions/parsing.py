@@ -14,6 +14,7 @@ from tallyboard.schemas import MISSING_DATE
 # Fixed text forms.
 INTEGER_TEXT = r"^[+-]?[0-9]+\z"
 DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+HEXADECIMAL_TEXT = r"^([+-]?)0[xX]([0-9a-fA-F]*)\.?([0-9a-fA-F]*)[pP]([+-]?[0-9]+)\z"
 NON_FINITE_TEXT = r"^([+-]?(?i:inf|infinity)|(?i:nan))\z"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 RFC3339_TEXT = (
@@ -33,11 +34,27 @@ def long_or_zero(text: Column) -> Column:
 
 
 def double_or_zero(text: Column) -> Column:
-    """Finite numbers and the infinity and NaN words; out-of-range digits give 0."""
+    """Finite decimal or hexadecimal numbers and the infinity and NaN words; out-of-range digits give 0."""
     number = text.try_cast("double")
     finite = F.when(text.rlike(DECIMAL_TEXT) & (F.abs(number) < float("inf")), number)
     word = F.when(text.rlike(NON_FINITE_TEXT), number)
-    return F.coalesce(finite, word, F.lit(0.0))
+    # Rare, so looked at last; as a lambda it stays out of the generated code, which it would swell.
+    hexadecimal = F.when(text.rlike(HEXADECIMAL_TEXT), F.get(F.transform(F.array(text), _hexadecimal), F.lit(0)))
+    return F.coalesce(finite, word, hexadecimal, F.lit(0.0))
+
+
+def _hexadecimal(text: Column) -> Column:
+    """Sign, digits and a power of two: 0x1.8p3 is 12. The leading 15 digits count, which is more than a double holds."""
+    sign, whole, part, power = (F.regexp_extract(text, HEXADECIMAL_TEXT, n) for n in (1, 2, 3, 4))
+    digits = F.regexp_replace(F.concat(whole, part), "^0+(?=.)", "")
+    kept = F.substring(digits, 1, 15)
+    size = F.conv(kept, 16, 10).try_cast("bigint").cast("double")
+    exponent = power.try_cast("int") - 4 * F.char_length(part) + 4 * (F.char_length(digits) - F.char_length(kept))
+    # In two steps, as the power alone can be out of range where the product is not.
+    half = F.floor(exponent / 2)
+    value = size * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
+    signed = F.when(sign == "-", -value).otherwise(value)
+    return F.when((digits != "") & (F.abs(signed) < float("inf")), signed)
 
 
 def flag_or_false(text: Column) -> Column:

@@ -1,7 +1,9 @@
 """The category cascade: app dictionary, URL dictionary, learned labels, default.
 
-With a dictionary inside the broadcast bound the cascade adds no shuffle to the
-messages. A message resolved by one stage is not looked at by the next.
+With a handful of URL patterns and everything inside the broadcast bounds the cascade
+adds no shuffle to the messages. Otherwise the distinct (app, title, url) are written to the
+shared folder, resolved there, and joined back once: two reads of the
+messages, whatever the sizes. A message resolved by one stage is not looked at by the next.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions.keys import label_prompt, label_query, validated_label
 from tallyboard.operators.lookup import (
+    DEFAULT_BOUND,
     BroadcastBound,
     attach,
-    attach_by_shuffle,
     bounded_rows,
     local_frame,
     within_bound,
@@ -30,11 +32,7 @@ from tallyboard.operators.patterns import (
     pattern_dictionary,
 )
 from tallyboard.schemas import DEFAULT_CATEGORY, ZERO_ID
-
-try:
-    import ahocorasick
-except ImportError:  # the equi-join below covers every dictionary size
-    ahocorasick = None
+from tallyboard.session import new_run_dir
 
 # A dictionary up to this size is fetched once and shipped with the plan.
 DICTIONARY_BOUND = BroadcastBound(rows=200_000, text_bytes=16 << 20)
@@ -45,6 +43,9 @@ LONGEST_GRAM = 4
 
 EXPRESSION, MATCHER, JOIN = "expression", "matcher", "join"
 
+# All that the cascade looks at.
+KEY = ["app", "title", "url"]
+
 # How a message got its category.
 BY_APP, BY_URL, BY_LABEL, BY_DEFAULT = "app", "url", "label", "none"
 
@@ -77,12 +78,15 @@ def url_category_expression(url: Column, rules: Sequence[tuple[str, str]]) -> Co
 def url_category_matcher(rules: Sequence[tuple[str, str]]):
     """The rule as an Arrow UDF: one multi-pattern matcher per task, one probe per distinct URL of a batch.
 
-    The matcher reports occurrences by end position, the longest first, so the
+    Only on request (``url_match=MATCHER``): driver and executors need the ``pyahocorasick``
+    package. The matcher reports occurrences by end position, the longest first, so the
     first one reported is the answer.
     """
     shipped = list(rules)
 
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
         matcher = ahocorasick.Automaton()
         for pattern, category in shipped:
             matcher.add_word(pattern, category)
@@ -121,18 +125,17 @@ def url_categories_by_join(urls: DataFrame, rules: DataFrame) -> DataFrame:
     )
     # At most three values; URLs offer only the lengths the dictionary uses.
     lengths = [row.gram_len for row in sized.select("gram_len").distinct().collect()]
+    lengths_array = F.array(*map(F.lit, lengths)).cast("array<int>")
     offered = (
         urls.where(F.col("url") != "")
-        .select("url", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("gram_len"))
-        .where(F.char_length("url") >= F.col("gram_len"))
-        .select(
-            "url",
-            "gram_len",
-            F.explode(F.sequence(F.lit(1), F.expr("char_length(url) - gram_len + 1"))).alias("pos"),
-        )
+        .withColumn("whole", F.char_length("url"))
+        .select("url", "whole", F.explode(lengths_array).alias("gram_len"))
+        .where(F.col("whole") >= F.col("gram_len"))
+        .select("url", "gram_len", F.explode(F.sequence(F.lit(1), F.expr("whole - gram_len + 1"))).alias("pos"))
         .select("url", "pos", F.expr("substring(url, pos, gram_len)").alias("gram"))
     )
     if within_bound(anchors):
+        # No piece is shuffled: those that anchor nothing go at once.
         anchors = F.broadcast(anchors)
     whole = F.expr("pos >= at AND substring(url, pos - at + 1, plen) = pattern")
     matched = offered.join(anchors, "gram").where(whole)
@@ -144,10 +147,8 @@ def url_categories_by_join(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def url_strategy(pattern_count: int | None) -> str:
-    """Which of the three to use; None stands for a dictionary beyond the bound."""
-    if pattern_count is None or (pattern_count > EXPRESSION_PATTERNS and ahocorasick is None):
-        return JOIN
-    return EXPRESSION if pattern_count <= EXPRESSION_PATTERNS else MATCHER
+    """One expression for a handful of patterns, else the join; None stands for a dictionary beyond the bound."""
+    return EXPRESSION if pattern_count is not None and pattern_count <= EXPRESSION_PATTERNS else JOIN
 
 
 class Rules(NamedTuple):
@@ -162,10 +163,17 @@ class Rules(NamedTuple):
         return Rules(frame, rows)
 
 
-def load_rules(category_patterns: DataFrame) -> Rules:
+def load_rules(category_patterns: DataFrame, bound: BroadcastBound | None = None) -> Rules:
     """Measure the dictionary and fetch it, once, if it is small enough."""
     effective = effective_patterns(pattern_dictionary(category_patterns))
-    return Rules(effective, bounded_rows(effective, DICTIONARY_BOUND))
+    return Rules(effective, bounded_rows(effective, bound or DICTIONARY_BOUND))
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` in the shared folder, so that it is computed once whatever reads it."""
+    path = new_run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_url_category(
@@ -177,9 +185,10 @@ def with_url_category(
     strategy = strategy or url_strategy(None if found.rows is None else len(found.rows))
     if strategy == JOIN or found.rows is None:
         probed = messages.withColumn("url_probe", F.nullif(probe, F.lit("")))
-        urls = probed.where(F.col("url_probe").isNotNull()).select(F.col("url_probe").alias("url"))
-        matched = url_categories_by_join(urls.distinct(), found.frame).withColumnRenamed("url", "url_probe")
-        return attach_by_shuffle(probed, matched, ["url_probe"]).drop("url_probe")
+        urls = probed.where(F.col("url_probe").isNotNull()).select(F.col("url_probe").alias("url")).distinct()
+        frame = found.frame if found.rows is None else local_frame(found.frame, found.rows)
+        matched = url_categories_by_join(_written(urls, "urls"), frame).withColumnRenamed("url", "url_probe")
+        return attach(probed, _written(matched, "matched"), ["url_probe"]).drop("url_probe")
     pairs = [(row.pattern, row.category) for row in found.rows]
     if strategy == EXPRESSION or not pairs:
         return messages.withColumn("url_category", url_category_expression(probe, pairs))
@@ -200,7 +209,7 @@ def with_app_category(messages: DataFrame, rules: Rules) -> DataFrame:
     keyed = frame.select(F.col("pattern").alias("app_probe"), F.col("category").alias("app_category"))
     probed = messages.withColumn("app_probe", F.lower("app"))
     if found.rows is None:
-        return attach_by_shuffle(probed, keyed, ["app_probe"]).drop("app_probe")
+        return probed.join(keyed, "app_probe", "left").drop("app_probe")
     return probed.join(F.broadcast(keyed), "app_probe", "left").drop("app_probe")
 
 
@@ -223,13 +232,22 @@ def settled_labels(learned_labels: DataFrame) -> DataFrame:
 
 
 def with_label_category(
-    messages: DataFrame, learned_labels: DataFrame, probe: Column | None = None
+    messages: DataFrame, learned_labels: DataFrame, probe: Column | None = None, bounded: bool | None = None
 ) -> DataFrame:
-    """Add ``label_category`` by query string. ``probe`` null skips the row."""
+    """Add ``label_category`` by query string. ``probe`` null skips the row.
+
+    ``bounded`` tells whether the label table fits a broadcast, where that has been measured.
+    """
     query = label_query(F.col("app"), F.col("title"), F.col("url")) if probe is None else probe
-    keyed = settled_labels(learned_labels)
+    probed = messages.withColumn("query", query)
     # The stored table is no smaller than its settled form, and cheaper to measure.
-    return attach(messages.withColumn("query", query), keyed, ["query"], measured=learned_labels).drop("query")
+    if within_bound(learned_labels) if bounded is None else bounded:
+        keyed = F.broadcast(settled_labels(learned_labels))
+    else:
+        # Only answers to the queries at hand are settled.
+        asked = probed.where(F.col("query").isNotNull()).select("query").distinct()
+        keyed = settled_labels(learned_labels.join(asked, "query", "left_semi"))
+    return probed.join(keyed, "query", "left").drop("query")
 
 
 # ---- The cascade ------------------------------------------------------------
@@ -240,9 +258,28 @@ def classify(
     category_patterns: DataFrame,
     learned_labels: DataFrame | None = None,
     url_match: str | None = None,
+    bound: BroadcastBound | None = None,
+) -> DataFrame:
+    """Add ``category``, ``method`` and ``is_llm`` to messages with app, title and url.
+
+    ``bound`` replaces the bounds of the dictionary and of the label table.
+    """
+    rules = load_rules(category_patterns, bound)
+    urls = rules.of(URL).rows
+    url_match = url_match or url_strategy(None if urls is None else len(urls))
+    few_labels = learned_labels is None or within_bound(learned_labels, bound or DEFAULT_BOUND)
+    if rules.rows is not None and url_match != JOIN and few_labels:
+        return _resolved(messages, rules, learned_labels, url_match, True)
+    keys = _written(messages.select(*KEY).distinct(), "keys")
+    resolved = _written(_resolved(keys, rules, learned_labels, url_match, few_labels), "resolved")
+    same = [F.col(f"resolved.{name}").eqNullSafe(F.col(f"messages.{name}")) for name in KEY]
+    joined = messages.alias("messages").join(resolved.alias("resolved"), same, "left")
+    return joined.select("messages.*", *[f"resolved.{name}" for name in ("category", "method", "is_llm")])
+
+
+def _resolved(
+    messages: DataFrame, rules: Rules, learned_labels: DataFrame | None, url_match: str, few_labels: bool
 ) -> DataFrame:
-    """Add ``category``, ``method`` and ``is_llm`` to messages with app, title and url."""
-    rules = load_rules(category_patterns)
     staged = with_app_category(messages, rules)
     unmatched = F.when(F.col("app_category").isNull(), F.col("url"))
     staged = with_url_category(staged, rules, url_match, probe=unmatched)
@@ -253,7 +290,7 @@ def classify(
             F.coalesce("app_category", "url_category").isNull(),
             label_query(F.col("app"), F.col("title"), F.col("url")),
         )
-        staged = with_label_category(staged, learned_labels, probe=open_query)
+        staged = with_label_category(staged, learned_labels, open_query, few_labels)
     method = (
         F.when(F.col("app_category").isNotNull(), BY_APP)
         .when(F.col("url_category").isNotNull(), BY_URL)
@@ -273,10 +310,8 @@ def attach_category_id(classified: DataFrame, category_patterns: DataFrame) -> D
     """Add ``category_id``; a category without a document gets the zero id."""
     ids = category_to_id(category_patterns)
     rows = bounded_rows(ids, DICTIONARY_BOUND)
-    if rows is None:
-        joined = attach_by_shuffle(classified, ids, ["category"])
-    else:
-        joined = classified.join(F.broadcast(local_frame(ids, rows)), "category", "left")
+    known = ids if rows is None else F.broadcast(local_frame(ids, rows))
+    joined = classified.join(known, "category", "left")
     return joined.select(*classified.columns, F.coalesce("category_id", F.lit(ZERO_ID)).alias("category_id"))
 
 

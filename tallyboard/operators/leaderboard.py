@@ -28,21 +28,31 @@ def leaderboard_entries(classified: DataFrame) -> DataFrame:
 
 
 def excluded_entry() -> Column:
-    finite = F.abs("duration") < float("inf")  # false for NaN too, which sorts last
+    # False for NaN too, which sorts last; a missing duration is no duration.
+    finite = F.coalesce(F.abs("duration") < float("inf"), F.lit(False))
     return ~finite | board_day(F.col("ts_epoch")).isNull()
 
 
-def _total(amount: Column, scale: int | None) -> Column:
-    """Sum as doubles, or exactly to ``scale`` decimals where the order of adding must not show."""
-    return F.sum(amount if scale is None else amount.cast(f"decimal(18,{scale})"))
+def total(amount: Column) -> Column:
+    """Sum of doubles in which the order of adding does not show, never null for a group with a value.
+
+    Values that a decimal holds to the last digit are added as such; those too large or too
+    fine for it are added as doubles. Should the decimal sum overflow, all are.
+    """
+    as_decimal = amount.try_cast("decimal(38,16)")
+    fits = F.coalesce((F.abs(amount) < 1e15) & (as_decimal.cast("double") == amount), F.lit(False))
+    exact = F.try_sum(F.when(fits, as_decimal)).cast("double")
+    kept = F.coalesce(exact, F.sum(F.when(fits, amount)))
+    other = F.sum(F.when(~fits, amount))
+    return F.when(other.isNull(), kept).otherwise(F.coalesce(kept, F.lit(0.0)) + other)
 
 
-def daily_totals(entries: DataFrame, scale: int | None = None, zone: str = BOARD_ZONE) -> DataFrame:
+def daily_totals(entries: DataFrame, zone: str = BOARD_ZONE) -> DataFrame:
     """Duration per (user, category, local day): all that the boards need."""
     return (
         entries.withColumn("day", board_day(F.col("ts_epoch"), zone))
         .groupBy("user_id", "category", "day")
-        .agg(_total(F.col("duration"), scale).alias("duration"))
+        .agg(total(F.col("duration")).alias("duration"))
     )
 
 
@@ -71,21 +81,21 @@ def fan_out(daily: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(entries: DataFrame, scale: int | None = None, zone: str = BOARD_ZONE) -> DataFrame:
+def leaderboard(entries: DataFrame, zone: str = BOARD_ZONE) -> DataFrame:
     """Score per (board key, user).
 
     Days are summed before the fan-out multiplies rows. What is left of a user is
     then small (categories times days), so one exchange by user serves every
     board and period.
     """
-    daily = daily_totals(entries, scale, zone).repartition("user_id")
+    daily = daily_totals(entries, zone).repartition("user_id")
     return _rolled_up(fan_out(daily))
 
 
 def _rolled_up(rows: DataFrame) -> DataFrame:
     return (
         rows.groupBy("user_id", "board", "period_kind", "period")
-        .agg(F.sum("duration").cast("double").alias("score"))
+        .agg(total(F.col("duration")).alias("score"))
         .select(
             "board",
             "period_kind",
@@ -97,24 +107,27 @@ def _rolled_up(rows: DataFrame) -> DataFrame:
     )
 
 
-def merge_deltas(deltas: DataFrame, scale: int | None = None) -> DataFrame:
+def merged_days(deltas: DataFrame) -> DataFrame:
+    """One row per (user, category, day) from the totals of several batches."""
+    return deltas.groupBy("user_id", "category", "day").agg(total(F.col("duration")).alias("duration"))
+
+
+def merge_deltas(deltas: DataFrame) -> DataFrame:
     """Leaderboard from the per-batch daily totals, whatever their order or number."""
-    daily = deltas.groupBy("user_id", "category", "day").agg(
-        _total(F.col("duration"), scale).alias("duration")
-    )
+    daily = merged_days(deltas)
     return _rolled_up(fan_out(daily.repartition("user_id")))
 
 
-def usage_by_period(entries: DataFrame, scale: int | None = None, zone: str = BOARD_ZONE) -> DataFrame:
+def usage_by_period(entries: DataFrame, zone: str = BOARD_ZONE) -> DataFrame:
     """Total usage and active users per calendar window and category, over all users."""
     days = (
         entries.withColumn("day", board_day(F.col("ts_epoch"), zone))
         .groupBy("category", "day")
-        .agg(_total(F.col("duration"), scale).alias("duration"), F.count(F.lit(1)).alias("messages"))
+        .agg(total(F.col("duration")).alias("duration"), F.count(F.lit(1)).alias("messages"))
     )
     windows = days.select("category", "duration", "messages", F.inline(periods_of(F.col("day"))))
     return windows.groupBy("period_kind", "period", "category").agg(
-        F.sum("duration").cast("double").alias("total_duration"),
+        total(F.col("duration")).alias("total_duration"),
         F.sum("messages").alias("messages"),
     )
 
@@ -143,12 +156,15 @@ def rank_all(board: DataFrame) -> DataFrame:
     The rows are range-partitioned into final order, so a large board spans many
     partitions; a row's rank is its place in its partition plus the rows its
     board has in earlier ones. The ordered rows are written to the shared folder
-    first, as both uses of them must see the same partition limits.
+    too, as both uses of them must see the same partition limits.
     """
     spark = board.sparkSession
     order = [F.col("key").asc(), *_best_first()]
+    # Written first: the range limits are sampled from the table, not by computing the board twice.
+    plain = new_run_dir(spark, "board")
+    board.select("key", "user_id", "score").write.parquet(plain)
     ordered = (
-        board.select("key", "user_id", "score")
+        spark.read.parquet(plain)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("place", F.monotonically_increasing_id())

@@ -1,13 +1,4 @@
-"""Left joins of a large table to a uniquely keyed one.
-
-Two shapes, chosen by the measured size of the keyed side:
-
-* within ``BroadcastBound`` it is broadcast: no shuffle, so no hot partition;
-* beyond it, rows of the few hottest keys are joined to just those keys' entries,
-  again by broadcast, and all other rows by an ordinary shuffle join.
-
-How rows are divided between the two halves never changes the result.
-"""
+"""Left joins of a large table to a uniquely keyed one, and small tables held as rows."""
 
 from __future__ import annotations
 
@@ -15,13 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_KEYS = 256
-TRACKED_KEYS = 8192
-
 
 @dataclass(frozen=True)
 class BroadcastBound:
@@ -49,12 +37,8 @@ def within_bound(df: DataFrame, bound: BroadcastBound = DEFAULT_BOUND) -> bool:
 
 
 def bounded_rows(df: DataFrame, bound: BroadcastBound = DEFAULT_BOUND) -> list[Row] | None:
-    """The rows of ``df`` if they fit the bound, else None; never fetches more than one row too many."""
-    rows = df.take(bound.rows + 1)
-    if len(rows) > bound.rows:
-        return None
-    used = sum(len(v.encode()) for row in rows for v in row if isinstance(v, str))
-    return rows if used <= bound.text_bytes else None
+    """The rows of ``df`` if they fit the bound, else None; measured before any is fetched."""
+    return df.collect() if within_bound(df, bound) else None
 
 
 def local_frame(template: DataFrame, rows: Sequence[Row]) -> DataFrame:
@@ -67,24 +51,6 @@ def local_frame(template: DataFrame, rows: Sequence[Row]) -> DataFrame:
     return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in template.schema.fields])
 
 
-def _key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(name) for name in keys])
-
-
-def hot_key_hashes(fact: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys that may hold more than 1/HOT_KEYS of the keyed rows.
-
-    A mergeable frequent-items sketch finds them: one small state per task, no
-    shuffle of the keys. It steers the plan only.
-    """
-    wanted = fact.where(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull())
-    sketch = F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {TRACKED_KEYS})")
-    found = wanted.select(_key_hash(keys).alias("key_hash")).agg(
-        sketch.alias("top"), F.count(F.lit(1)).alias("n")
-    ).first()
-    return [item[0] for item in (found.top or []) if item[1] * HOT_KEYS > found.n]
-
-
 def attach(
     fact: DataFrame,
     keyed: DataFrame,
@@ -94,29 +60,13 @@ def attach(
 ) -> DataFrame:
     """``fact`` left-joined to ``keyed``, which has at most one row per key.
 
+    Within ``bound`` the keyed side is broadcast: no shuffle, so no hot partition.
+    Beyond it the join shuffles, reading ``fact`` once; a partition swollen by a hot key
+    or by rows without a key is split at run time (adaptive skew join), as only the fact side repeats keys.
     ``measured`` is a stored table at least as large as ``keyed``, where ``keyed``
     itself would have to be computed to be measured.
     """
-    keys = list(keys)
     if within_bound(keyed if measured is None else measured, bound):
-        return fact.join(F.broadcast(keyed), keys, "left")
-    return attach_by_shuffle(fact, keyed, keys)
-
-
-def attach_by_shuffle(fact: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same join for a keyed side of any size, hot keys apart."""
-    keys = list(keys)
-    hashes = hot_key_hashes(fact, keys)
-    blank = F.concat(*[F.col(k).cast("string") for k in keys]).isNull()
-    hot = _key_hash(keys).isin(hashes) if hashes else F.lit(False)
-    # Rows without a key have no partner; kept out of the shuffle, where they
-    # would all meet in one partition.
-    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in keyed.schema.fields if f.name not in keys]
-    keyless = fact.where(blank).select("*", *added)
-    cold = fact.where(~blank & ~hot).join(keyed, keys, "left")
-    parts = keyless.unionByName(cold)
-    if hashes:
-        # At most HOT_KEYS entries, plus hash collisions.
-        few = F.broadcast(keyed.where(hot))
-        parts = parts.unionByName(fact.where(~blank & hot).join(few, keys, "left"))
-    return parts.select(*fact.columns, *[c for c in keyed.columns if c not in keys])
+        keyed = F.broadcast(keyed)
+    joined = fact.join(keyed, list(keys), "left")
+    return joined.select(*fact.columns, *[c for c in keyed.columns if c not in keys])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 APP, URL = "app", "url"
@@ -61,12 +61,37 @@ def dictionary_counters(category_patterns: DataFrame) -> DataFrame:
     return documents.select("*", *[one.scalar().alias(one.columns[0]) for one in counted])
 
 
+def add_pattern_rows(category_patterns: DataFrame, additions: DataFrame) -> DataFrame:
+    """The dictionary with new patterns at the end of their lists, one row per pattern.
+
+    ``additions`` has (category_id, kind, pattern, seq); patterns already in a list and documents that do not
+    exist are skipped. Nothing is gathered: a list of any length stays rows.
+    """
+    dictionary = pattern_dictionary(category_patterns)
+    lengths = F.array(
+        *[
+            F.struct(F.lit(kind).alias("kind"), F.coalesce(F.size(column), F.lit(0)).alias("length"))
+            for kind, column in ((APP, "app_patterns"), (URL, "domain_patterns"))
+        ]
+    )
+    lists = category_patterns.select("category_id", "category", "ord", F.inline(lengths))
+    first_seen = additions.groupBy("category_id", "kind", "pattern").agg(F.min("seq").alias("seq"))
+    fresh = first_seen.join(
+        dictionary.select("category_id", "kind", "pattern").distinct(), ["category_id", "kind", "pattern"], "left_anti"
+    ).join(lists, ["category_id", "kind"])
+    nth = F.row_number().over(Window.partitionBy("category_id", "kind").orderBy("seq", "pattern"))
+    return dictionary.unionByName(
+        fresh.select(
+            "category_id", "category", "kind", "ord", (F.col("length") + nth - 1).alias("pos"), "pattern"
+        )
+    )
+
+
 def add_patterns(category_patterns: DataFrame, additions: DataFrame) -> DataFrame:
     """Append new patterns to a category's lists, skipping those already there.
 
     ``additions`` has (category_id, kind, pattern, seq). Stored lists keep their
-    own duplicates. A document's list is one array value, so this gathers what
-    belongs to one document and nothing more.
+    own duplicates. For a store whose documents hold arrays; ``add_pattern_rows`` keeps rows.
     """
     first_seen = additions.groupBy("category_id", "kind", "pattern").agg(F.min("seq").alias("seq"))
     listed = first_seen.groupBy("category_id").agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions.keys import id_or_derived, valid_id
 from tallyboard.schemas import CATEGORIZED_DATA, USAGE_LOGS, ZERO_ID
+from tallyboard.sources.tables import write_snapshot
 
 NATURAL_KEY = ["app", "url", "title"]
 
@@ -127,10 +128,15 @@ def new_keys(keys: DataFrame, categorized_data: DataFrame) -> DataFrame:
 
 
 def latest_per_id(messages: DataFrame, record_id: str, value: str) -> DataFrame:
-    """(record_id, value, seq) with the value that arrived last for each valid id."""
+    """(record_id, value, seq) with the value that arrived last for each valid id.
+
+    Arrival is the broker's time where messages have it (``arrived``), then ``seq``.
+    Ids are bytes written in hexadecimal: upper and lower case are one id.
+    """
     rows = messages.where(valid_id(F.col(record_id)))
+    order = [name for name in ("arrived", "seq") if name in messages.columns]
     latest = rows.groupBy(F.lower(record_id).alias("record_id")).agg(
-        F.max(F.struct("seq", F.col(value).alias("value"))).alias("latest")
+        F.max(F.struct(*order, F.col(value).alias("value"))).alias("latest")
     )
     return latest.select("record_id", F.col("latest.value").alias(value), F.col("latest.seq").alias("seq"))
 
@@ -139,12 +145,10 @@ def set_by_id(table: DataFrame, id_column: str, target: str, updates: DataFrame)
     """``table`` with ``target`` replaced where ``updates`` (record_id, target, …) has the row's id.
 
     Ids are unique on both sides, so no key is hot, and whether the updates are
-    few enough to broadcast is left to Spark's own size statistics.
+    few enough to broadcast is left to Spark's own size statistics. Stored ids keep their letters.
     """
-    changes = updates.select(
-        F.col("record_id").alias(id_column), F.col(target).alias("updated_value")
-    )
-    joined = table.join(changes, id_column, "left")
+    changes = updates.select("record_id", F.col(target).alias("updated_value"))
+    joined = table.join(changes, F.lower(id_column) == F.col("record_id"), "left")
     return joined.withColumn(target, F.coalesce("updated_value", target)).select(*table.columns)
 
 
@@ -162,10 +166,38 @@ def set_categorized_category(categorized_data: DataFrame, updates: DataFrame) ->
 
 def matched_updates(table: DataFrame, id_column: str, updates: DataFrame) -> DataFrame:
     """Updates that hit a stored row; the others were no-ops."""
-    stored = table.select(F.col(id_column).alias("record_id"))
+    stored = table.select(F.lower(id_column).alias("record_id"))
     return updates.join(stored, "record_id", "left_semi")
 
 
+def update_counts(table: DataFrame, id_column: str, target: str, updates: DataFrame) -> DataFrame:
+    """One row: updates, those that hit a stored row (matched), changed it (modified), or hit none (no_op)."""
+    stored = table.select(F.lower(id_column).alias("record_id"), F.col(target).alias("stored_value"), F.lit(True).alias("hit"))
+    joined = updates.select("record_id", target).join(stored, "record_id", "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("updates"),
+        F.count_if("hit").alias("matched"),
+        F.count_if(F.col("hit") & ~F.col("stored_value").eqNullSafe(F.col(target))).alias("modified"),
+        F.count_if(F.col("hit").isNull()).alias("no_op"),
+    )
+
+
+def rewrite_by_date(spark: SparkSession, path: str, new_path: str, id_column: str, target: str, updates: DataFrame) -> str:
+    """A new version of a table stored by ``session_date``: ``path`` stays as it is for readers that have it open.
+
+    Updates with a ``session_date`` are joined within their dates only, and every other date is copied without a shuffle;
+    updates without one are looked for in the whole table.
+    """
+    stored = spark.read.parquet(path)
+    if "session_date" not in updates.columns:
+        changed = set_by_id(stored, id_column, target, updates)
+    else:
+        dates = F.broadcast(updates.select("session_date").distinct())  # calendar days
+        touched = set_by_id(stored.join(dates, "session_date", "left_semi"), id_column, target, updates)
+        changed = touched.unionByName(stored.join(dates, "session_date", "left_anti"))
+    return write_snapshot(changed.select(*stored.columns), new_path, "session_date")
+
+
 def single_update(spark: SparkSession, record_id: str, target: str, value: str) -> DataFrame:
     """One update as a frame, for the functions above."""
     row = spark.range(1).select(

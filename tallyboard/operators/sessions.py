@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyboard.schemas import SESSION_SCORE_STREAM
+
 
 def session_scores(messages: DataFrame) -> DataFrame:
     """One record per message that ends a session; repeats are kept."""
     return messages.where("is_end").select(
         "user_id", F.date_format("session_date", "yyyy-MM-dd").alias("session_date"), "session_no"
     )
+
+
+def session_events(scores: DataFrame) -> DataFrame:
+    """Session records as stream records: the user as key, all fields as a JSON object of strings."""
+    fields = [F.col(name).cast("string").alias(name) for name in ("user_id", "session_date", "session_no")]
+    names = [F.struct(fields[0].alias("userId"), fields[1].alias("sessionDate"), fields[2].alias("session"))]
+    return scores.select(F.col("user_id").alias("key"), F.to_json(*names).alias("value"))
+
+
+def write_session_events(scores: DataFrame, servers: str, topic: str = SESSION_SCORE_STREAM) -> None:
+    """Append the records to a topic. Needs the Kafka connector on the class path; a batch that runs again sends again."""
+    writer = session_events(scores).write.format("kafka").option("kafka.bootstrap.servers", servers)
+    writer.option("topic", topic).save()

@@ -13,6 +13,7 @@ from tallyboard.operators import classify as cl
 from tallyboard.operators import leaderboard as lb
 from tallyboard.operators import patterns as pt
 from tallyboard.operators import records as rec
+from tallyboard.operators.lookup import BroadcastBound
 from tallyboard.operators.sessions import session_scores
 from tallyboard.plans import inputs
 from tallyboard.schemas import DAILY_TOTALS, MESSAGES
@@ -23,8 +24,6 @@ from tallyboard.streaming import pipeline as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Durations of the given data have two decimals; sums are exact to those.
-CENTS = 2
 TOP = 10
 
 _QUERIES: dict[str, Query] = {}
@@ -120,6 +119,14 @@ def pattern_add(spark, sf_dir):
     )
 
 
+@query
+def pattern_add_rows(spark, sf_dir):
+    extended = pt.add_pattern_rows(
+        inputs.site_patterns(spark, sf_dir), inputs.pattern_additions(spark, sf_dir)
+    )
+    return extended.select("category_id", "kind", "pos", "pattern")
+
+
 @query
 def dictionary_counters(spark, sf_dir):
     return pt.dictionary_counters(inputs.site_patterns(spark, sf_dir))
@@ -165,7 +172,7 @@ def classify_url_sites(spark, sf_dir):
 
 @query
 def classify_url_sites_join(spark, sf_dir):
-    """The same by the equi-join that serves a dictionary of any size."""
+    """The same, asking for the equi-join that serves a dictionary of any size."""
     messages = inputs.messages(spark, sf_dir)
     sites = inputs.site_patterns(spark, sf_dir)
     return cl.classify_url(messages, sites, cl.JOIN).select("seq", "url", "url_category")
@@ -203,6 +210,24 @@ def classify_usage(spark, sf_dir):
     return classified.select("seq", "app", "url", "title", "category", "method", "is_llm")
 
 
+def _classified_sites(spark: SparkSession, sf_dir: str, bound: BroadcastBound | None = None) -> DataFrame:
+    sites, labels = inputs.site_patterns(spark, sf_dir), inputs.learned_labels(spark, sf_dir)
+    classified = cl.classify(inputs.messages(spark, sf_dir), sites, labels, bound=bound)
+    return classified.select("seq", "app", "url", "title", "category", "method", "is_llm")
+
+
+@query
+def classify_usage_sites(spark, sf_dir):
+    """The cascade with a dictionary that grows with the pages."""
+    return _classified_sites(spark, sf_dir)
+
+
+@query
+def classify_usage_sites_unbounded(spark, sf_dir):
+    """The same as if neither dictionary nor labels could be broadcast."""
+    return _classified_sites(spark, sf_dir, BroadcastBound(rows=0, text_bytes=0))
+
+
 @query
 def classification_method_counts(spark, sf_dir):
     classified = _classified(spark, sf_dir, labels=True)
@@ -226,7 +251,7 @@ def work_usage(spark, sf_dir):
     work = _entries(spark, sf_dir).where(lb.is_work(F.col("category")))
     return work.groupBy("category").agg(
         F.count(F.lit(1)).alias("messages"),
-        F.sum(F.col("duration").cast("decimal(18,2)")).cast("double").alias("total_duration"),
+        lb.total(F.col("duration")).alias("total_duration"),
     )
 
 
@@ -235,13 +260,12 @@ def work_usage(spark, sf_dir):
 
 @query
 def leaderboard(spark, sf_dir):
-    return lb.leaderboard(_entries(spark, sf_dir), CENTS)
+    return lb.leaderboard(_entries(spark, sf_dir))
 
 
 @query
 def leaderboard_fanout(spark, sf_dir):
-    rows = lb.fan_out(lb.daily_totals(_entries(spark, sf_dir), CENTS))
-    return rows.withColumn("duration", F.col("duration").cast("double"))
+    return lb.fan_out(lb.daily_totals(_entries(spark, sf_dir)))
 
 
 @query
@@ -250,24 +274,24 @@ def leaderboard_delta_rollup(spark, sf_dir):
     classified = _classified(spark, sf_dir)
     for batch_id in (0, 1, 2, 1):  # batch 1 runs twice
         part = classified.where(F.col("seq") % 3 == batch_id)
-        deltas = lb.daily_totals(lb.leaderboard_entries(part), CENTS)
-        write_batch(deltas.withColumn("duration", F.col("duration").cast("double")), root, batch_id)
-    return lb.merge_deltas(read_batches(spark, root, DAILY_TOTALS), CENTS)
+        deltas = lb.daily_totals(lb.leaderboard_entries(part))
+        write_batch(deltas, root, batch_id)
+    return lb.merge_deltas(read_batches(spark, root, DAILY_TOTALS))
 
 
 @query
 def leaderboard_rank(spark, sf_dir):
-    return lb.rank_all(lb.leaderboard(_entries(spark, sf_dir), CENTS))
+    return lb.rank_all(lb.leaderboard(_entries(spark, sf_dir)))
 
 
 @query
 def leaderboard_topk(spark, sf_dir):
-    return lb.top_k(lb.leaderboard(_entries(spark, sf_dir), CENTS), TOP)
+    return lb.top_k(lb.leaderboard(_entries(spark, sf_dir)), TOP)
 
 
 @query
 def usage_by_period(spark, sf_dir):
-    return lb.usage_by_period(_entries(spark, sf_dir), CENTS)
+    return lb.usage_by_period(_entries(spark, sf_dir))
 
 
 # ---- Stored records ---------------------------------------------------------
@@ -348,6 +372,20 @@ def matched_updates(spark, sf_dir):
     return hits.select("record_id", "category_id")
 
 
+@query
+def update_counters(spark, sf_dir):
+    logs = inputs.usage_logs(spark, sf_dir)
+    updates = _category_updates(spark, sf_dir, "usage_log_id")
+    return rec.update_counts(logs, "usage_log_id", "category_id", updates)
+
+
+@query
+def usage_log_set_category_upper(spark, sf_dir):
+    """Stored ids in capitals get the updates of the same ids in small letters."""
+    logs = inputs.usage_logs(spark, sf_dir).withColumn("usage_log_id", F.upper("usage_log_id"))
+    return rec.set_usage_log_category(logs, _category_updates(spark, sf_dir, "usage_log_id"))
+
+
 # ---- Streaming --------------------------------------------------------------
 
 
@@ -358,7 +396,6 @@ def _streamed(spark: SparkSession, sf_dir: str) -> pl.Sinks:
         sinks,
         load_patterns=lambda: inputs.category_patterns(spark),
         load_labels=lambda: inputs.learned_labels(spark, sf_dir),
-        scale=CENTS,
     )
     job.run_available(inputs.stream_raw_messages(spark, sf_dir))
     return sinks
@@ -366,7 +403,36 @@ def _streamed(spark: SparkSession, sf_dir: str) -> pl.Sinks:
 
 @query
 def stream_end_to_end(spark, sf_dir):
-    return pl.current_leaderboard(spark, _streamed(spark, sf_dir), CENTS)
+    return pl.current_leaderboard(spark, _streamed(spark, sf_dir))
+
+
+@query
+def stream_after_fold(spark, sf_dir):
+    """Three batches, each folded by the one after it."""
+    sinks = pl.Sinks(new_run_dir(spark, "folded"))
+    job = pl.UsageJob(
+        sinks,
+        load_patterns=lambda: inputs.category_patterns(spark),
+        load_labels=lambda: inputs.learned_labels(spark, sf_dir),
+        fold_every=1,
+    )
+    raw = inputs.raw_messages(spark, sf_dir)
+    for batch_id in range(3):
+        job.process(raw.where(F.col("seq") % 3 == batch_id), batch_id)
+    return pl.current_leaderboard(spark, sinks)
+
+
+@query
+def stream_drop_repeats(spark, sf_dir):
+    """Two batches in which three messages share an id; those without a valid one all count."""
+    sinks = pl.Sinks(new_run_dir(spark, "repeats"))
+    job = pl.UsageJob(sinks, load_patterns=lambda: inputs.category_patterns(spark), drop_repeats=True)
+    shared = inputs.hex_id(F.floor(F.col("seq") / 3).cast("bigint"))
+    messages = normalize(inputs.raw_messages(spark, sf_dir))
+    messages = messages.withColumn("usage_log_id", F.when(keys.valid_id(F.col("usage_log_id")), shared).otherwise(""))
+    for batch_id in range(2):
+        job.process_messages(messages.where(F.col("seq") % 2 == batch_id), batch_id)
+    return pl.current_leaderboard(spark, sinks)
 
 
 @query
@@ -400,11 +466,11 @@ def refresh_mapping(spark, sf_dir):
     patterns = inputs.category_patterns(spark)
     write_snapshot(patterns, versions[0])
     current = [versions[0]]
-    job = pl.UsageJob(sinks, load_patterns=lambda: spark.read.parquet(current[0]), scale=CENTS)
+    job = pl.UsageJob(sinks, load_patterns=lambda: spark.read.parquet(current[0]))
     messages = inputs.messages(spark, sf_dir)
     job.process_messages(messages.where("seq % 2 = 0"), 0)
     renumbered = inputs.hex_id(F.col("ord") + 100)
     write_snapshot(patterns.withColumn("category_id", renumbered), versions[1])
     current[0] = versions[1]
     job.process_messages(messages.where("seq % 2 = 1"), 1)
-    return pl.current_updates(spark, sinks.usage_log_updates).select("record_id", "category_id")
+    return pl.current_updates(spark, sinks).select("record_id", "category_id")

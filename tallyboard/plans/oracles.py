@@ -129,10 +129,10 @@ labels_by_query AS (
 _QUERY_KEY = "'app: ' || lower(m.app) || ', title: ' || m.title || ', url: ' || m.url"
 
 
-def _cascade(source: str = "messages", labels: bool = False) -> str:
+def _cascade(source: str = "messages", labels: bool = False, patterns: str = PATTERNS) -> str:
     label = "l.label_category" if labels else "CAST(NULL AS VARCHAR)"
     join = f"LEFT JOIN labels_by_query l ON l.query = {_QUERY_KEY}" if labels else ""
-    return f"""{PATTERNS},{DICTIONARY},{URL_HITS},{LABELS},
+    return f"""{patterns},{DICTIONARY},{URL_HITS},{LABELS},
 classified AS (
   SELECT m.*,
          coalesce(a.category, h.url_category, {label}, 'Uncategorized') AS category,
@@ -228,6 +228,17 @@ _LOGS_UPDATED = """
 _OPEN_KEY = """'app: ' || lower(app) || ', title: ' || title || ', url: ' || url AS query,
        'Application: ' || lower(app) || chr(10) || 'Title: ' || title || chr(10) || 'URL: ' || url AS prompt"""
 
+_SITE_CASCADE = f"{MESSAGES},{_cascade(labels=True, patterns=SITES)}"
+_CLASSIFIED_COLUMNS = "SELECT seq, app, url, title, category, method, is_llm FROM classified"
+
+# The first message of each shared id, batch by batch; all without an id.
+_FIRST_SEEN = f"""{NORMALIZED},
+once AS (
+  SELECT * EXCLUDE (nth) FROM (
+    SELECT *, row_number() OVER (PARTITION BY seq // 3, usage_log_id = 'bad-id' ORDER BY seq % 2, seq) AS nth
+    FROM normalized)
+  WHERE nth = 1 OR usage_log_id = 'bad-id')"""
+
 _SITE_RULES = f"{MESSAGES},{SITES},{DICTIONARY},{URL_HITS}"
 _SITES_ONLY = f"{SITES},{DICTIONARY}"
 
@@ -323,6 +334,8 @@ FROM (SELECT page_id, ([{_ANSWERS}])[page_id % {len(RAW_ANSWERS) + 1} + 1] AS an
         "classify_usage": _sql(
             CLASSIFIED_LABELS, "SELECT seq, app, url, title, category, method, is_llm FROM classified"
         ),
+        "classify_usage_sites": _sql(_SITE_CASCADE, _CLASSIFIED_COLUMNS),
+        "classify_usage_sites_unbounded": _sql(_SITE_CASCADE, _CLASSIFIED_COLUMNS),
         "classification_method_counts": _sql(
             CLASSIFIED_LABELS,
             """SELECT method, is_llm, category, count(*) AS messages
@@ -423,6 +436,24 @@ FROM logs g JOIN messages m ON m.usage_log_id = g.usage_log_id""",
             """SELECT usage_log_id AS record_id, category_id FROM with_id
 WHERE usage_log_id IN (SELECT usage_log_id FROM logs)""",
         ),
+        "update_counters": _sql(
+            f"{CLASSIFIED},{WITH_ID},{LOGS}",
+            f"""SELECT count(*) AS updates, count(g.usage_log_id) AS matched,
+       count(*) FILTER (WHERE g.usage_log_id IS NOT NULL AND w.category_id <> '{ZERO_ID}') AS modified,
+       count(*) FILTER (WHERE g.usage_log_id IS NULL) AS no_op
+FROM with_id w LEFT JOIN logs g ON g.usage_log_id = w.usage_log_id WHERE w.usage_log_id <> 'bad-id'""",
+        ),
+        "usage_log_set_category_upper": _sql(
+            f"{CLASSIFIED},{WITH_ID},{LOGS}", _LOGS_UPDATED.replace("g.usage_log_id,", "upper(g.usage_log_id) AS usage_log_id,", 1)
+        ),
+        "pattern_add_rows": _sql(
+            f"{_SITES_ONLY},{_ADDITIONS}",
+            """SELECT category_id, kind, pattern,
+       CAST(row_number() OVER (PARTITION BY category_id, kind ORDER BY place) - 1 AS INTEGER) AS pos
+FROM positions WHERE category_id IN (SELECT category_id FROM patterns)""",
+        ),
+        "stream_after_fold": _sql(f"{CLASSIFIED_STREAM},{BOARD}", _LEADERBOARD_COLUMNS),
+        "stream_drop_repeats": _sql(f"{_FIRST_SEEN},{_cascade('once')},{BOARD}", _LEADERBOARD_COLUMNS),
         "stream_end_to_end": _sql(f"{CLASSIFIED_STREAM},{BOARD}", _LEADERBOARD_COLUMNS),
         "stream_usage_logs": _sql(f"{CLASSIFIED_STREAM},{WITH_ID},{LOGS}", _LOGS_UPDATED),
         "stream_session_scores": _sql(NORMALIZED, _SCORES.format("normalized")),

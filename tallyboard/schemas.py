@@ -29,29 +29,6 @@ VALID_LABELS = (
     "Finance",
 )
 
-# Categories offered to the labeller. Not the same list: Communication and Music
-# are offered but rejected on return.
-OFFERED_LABELS = (
-    "SNS",
-    "Documentation",
-    "Design",
-    "Communication",
-    "LLM",
-    "Development",
-    "Productivity",
-    "Video Editing",
-    "Entertainment",
-    "File Management",
-    "System & Utilities",
-    "Game",
-    "Education",
-    "Finance",
-    "Browsing",
-    "Marketing",
-    "Music",
-    "E-commerce & Shopping",
-)
-
 # Categories that also count on the aggregate work board.
 WORK_CATEGORIES = (
     "Development",
@@ -137,10 +114,14 @@ OPEN_KEYS = _struct(query=_S, app=_S, title=_S, url=_S, prompt=_S)
 
 DAILY_TOTALS = _struct(user_id=_S, category=_S, day=T.DateType(), duration=_D)
 
-LEADERBOARD = _struct(board=_S, period_kind=_S, period=_S, key=_S, user_id=_S, score=_D)
-
 SESSION_SCORES = _struct(user_id=_S, session_date=_S, session_no=_L)
 
 CATEGORY_UPDATES = _struct(record_id=_S, category_id=_S, seq=_L)
 
 BATCH_METRICS = _struct(method=_S, messages=_L, excluded=_L, invalid_ids=_L, ended=_L)
+
+SEEN_IDS = _struct(record_id=_S)
+
+UPDATE_COUNTS = _struct(updates=_L, matched=_L, modified=_L, no_op=_L)
+
+FOLDS = _struct(path=_S)

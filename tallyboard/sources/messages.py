@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyboard.functions.keys import valid_id
 from tallyboard.functions.parsing import (
     date_or_missing,
     double_or_zero,
@@ -67,11 +68,14 @@ def stream_raw_kafka(
 
 
 def from_json_records(records: DataFrame) -> DataFrame:
-    """Broker records (partition, offset, value) as raw messages.
+    """Broker records (partition, offset, timestamp, value) as raw messages.
 
-    ``seq`` orders a partition's records; 2^40 offsets fit before partitions overlap.
+    Messages are ordered by ``arrived``, the broker's time in microseconds, then by ``seq``, which is unique:
+    the partition above 2^40 offsets. Without a time, ``seq`` alone decides.
     """
+    time = [F.unix_micros("timestamp").alias("arrived")] if "timestamp" in records.columns else []
     return records.select(
+        *time,
         (F.shiftleft(F.col("partition").cast("bigint"), 40) + F.col("offset")).alias("seq"),
         F.from_json(F.col("value").cast("string"), "map<string,string>").alias("values"),
     )
@@ -83,16 +87,21 @@ def _field(name: str) -> Column:
 
 def normalize(raw: DataFrame) -> DataFrame:
     """Typed messages. No row is rejected: missing or unreadable text gives a zero value."""
-    return raw.select(
-        "seq", *[parse(_field(name)).alias(column) for column, (name, parse) in FIELDS.items()]
-    )
+    order = [name for name in ("arrived", "seq") if name in raw.columns]
+    return raw.select(*order, *[parse(_field(name)).alias(column) for column, (name, parse) in FIELDS.items()])
 
 
-def drop_repeats(messages: DataFrame, within: str) -> DataFrame:
-    """Optional: drop messages of a stream whose usage-log id was seen less than ``within`` ago.
+def without_repeats(messages: DataFrame, seen_ids: DataFrame | None = None) -> DataFrame:
+    """Messages without those whose usage-log id an earlier one has; the first one stays.
 
-    Off unless asked for, as repeated messages normally count again. The
-    watermark bounds the remembered ids.
+    ``seen_ids`` (record_id) are the ids of earlier batches. A message without a valid id
+    repeats nothing and stays, and so does a late one whose id is new.
     """
-    timed = messages.withColumn("event_time", F.timestamp_seconds("ts_epoch"))
-    return timed.withWatermark("event_time", within).dropDuplicatesWithinWatermark(["usage_log_id"])
+    has_id = valid_id(F.col("usage_log_id"))
+    order = [F.col(name) for name in ("arrived", "seq") if name in messages.columns]
+    first = F.row_number().over(Window.partitionBy(F.lower("usage_log_id")).orderBy(*order))
+    fresh = messages.where(has_id).withColumn("nth", first).where("nth = 1").drop("nth")
+    if seen_ids is not None:
+        earlier = seen_ids.select(F.col("record_id").alias("earlier_id")).distinct()
+        fresh = fresh.join(earlier, F.lower("usage_log_id") == F.col("earlier_id"), "left_anti")
+    return fresh.unionByName(messages.where(~has_id))

@@ -1,6 +1,6 @@
 """Command line of the streaming job.
 
-    spark-submit tallyboard/streaming/app.py --messages <folder> --patterns <table> --out <folder>
+    spark-submit usage_job.py --messages <folder> --patterns <table> --out <folder>
 
 Messages come from a folder of JSON or parquet files, or from Kafka with
 ``--kafka`` and the connector on the class path.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyboard.schemas import LEARNED_LABELS, MESSAGE_STREAM
 from tallyboard.session import build_session
-from tallyboard.sources.messages import drop_repeats, normalize, stream_raw, stream_raw_kafka
+from tallyboard.sources.messages import normalize, stream_raw, stream_raw_kafka
 from tallyboard.sources.tables import read_batches, read_patterns
 from tallyboard.streaming.pipeline import Sinks, UsageJob
 
@@ -33,7 +33,9 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--interval", default="2 seconds")
     parser.add_argument("--limit", type=int, help="files (or Kafka records) per batch")
     parser.add_argument("--once", action="store_true", help="stop when all present messages are done")
-    parser.add_argument("--drop-repeats", metavar="WATERMARK", help='e.g. "1 hour"; off by default')
+    parser.add_argument("--drop-repeats", action="store_true", help="leave out messages with a usage-log id seen before")
+    parser.add_argument("--fold-every", type=int, metavar="BATCHES", help="merge old batches this often", default=500)
+    parser.add_argument("--session-servers", help="bootstrap servers that get the session records")
     return parser.parse_args(argv)
 
 
@@ -42,8 +44,7 @@ def message_stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         raw = stream_raw_kafka(spark, args.kafka, args.topic, args.limit)
     else:
         raw = stream_raw(spark, args.messages, args.format, args.limit)
-    messages = normalize(raw)
-    return drop_repeats(messages, args.drop_repeats) if args.drop_repeats else messages
+    return normalize(raw)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -53,6 +54,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         Sinks(args.out.rstrip("/")),
         load_patterns=lambda: read_patterns(spark, args.patterns),
         load_labels=(lambda: read_batches(spark, args.labels, LEARNED_LABELS)) if args.labels else None,
+        drop_repeats=args.drop_repeats,
+        fold_every=args.fold_every,
+        session_servers=args.session_servers,
     )
     messages = message_stream(spark, args)
     if args.once:

@@ -1,7 +1,12 @@
-"""The streaming job: raw messages in, four tables and a metrics table out."""
+"""The streaming job: raw messages in, result tables and a metrics table out.
+
+A batch counts once its metrics are there: they are written last, and readers look at
+such batches only. Older batches are folded into one snapshot per table.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,19 +22,36 @@ from tallyboard.operators.leaderboard import (
     excluded_entry,
     leaderboard_entries,
     merge_deltas,
+    merged_days,
 )
-from tallyboard.operators.records import latest_per_id, set_by_id
-from tallyboard.operators.sessions import session_scores
+from tallyboard.operators.records import latest_per_id, set_by_id, update_counts
+from tallyboard.operators.sessions import session_scores, write_session_events
 from tallyboard.schemas import (
     BATCH_METRICS,
     CATEGORY_UPDATES,
     DAILY_TOTALS,
+    FOLDS,
     OPEN_KEYS,
+    SEEN_IDS,
     SESSION_SCORES,
+    UPDATE_COUNTS,
 )
-from tallyboard.sources.messages import normalize
+from tallyboard.session import configure, remove_path
+from tallyboard.sources.messages import normalize, without_repeats
 from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
-from tallyboard.session import configure
+
+#: The tables of a job and their schemas; the metrics come last.
+TABLES = {
+    "usage_log_updates": CATEGORY_UPDATES,
+    "categorized_updates": CATEGORY_UPDATES,
+    "leaderboard_deltas": DAILY_TOTALS,
+    "session_scores": SESSION_SCORES,
+    "to_label": OPEN_KEYS,
+    "seen_ids": SEEN_IDS,
+    "update_counts": UPDATE_COUNTS,
+    "metrics": BATCH_METRICS,
+}
+
 
 @dataclass(frozen=True)
 class Sinks:
@@ -37,33 +59,20 @@ class Sinks:
 
     root: str
 
-    @property
-    def usage_log_updates(self) -> str:
-        return f"{self.root}/usage_log_updates"
+    def table(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     @property
-    def categorized_updates(self) -> str:
-        return f"{self.root}/categorized_updates"
-
-    @property
-    def leaderboard_deltas(self) -> str:
-        return f"{self.root}/leaderboard_deltas"
-
-    @property
-    def session_scores(self) -> str:
-        return f"{self.root}/session_scores"
-
-    @property
-    def to_label(self) -> str:
-        return f"{self.root}/to_label"
+    def metrics(self) -> str:
+        return self.table("metrics")
 
     @property
-    def metrics(self) -> str:
-        return f"{self.root}/metrics"
+    def folds(self) -> str:
+        return self.table("folds")
 
     @property
     def checkpoint(self) -> str:
-        return f"{self.root}/checkpoint"
+        return self.table("checkpoint")
 
 
 @dataclass(frozen=True)
@@ -71,14 +80,19 @@ class UsageJob:
     """What one micro-batch does.
 
     The loaders run at the start of every batch, so a changed dictionary or new
-    labels apply from the next batch on without a restart. ``scale`` makes totals
-    exact to that many decimals.
+    labels apply from the next batch on without a restart. ``drop_repeats`` leaves out messages whose
+    usage-log id an earlier message has. With ``load_usage_logs`` each batch also counts what its
+    updates change there. ``fold_every`` batches, the ones before are folded.
+    ``session_servers`` names brokers that get the session records too.
     """
 
     sinks: Sinks
     load_patterns: Callable[[], DataFrame]
     load_labels: Callable[[], DataFrame] | None = None
-    scale: int | None = None
+    load_usage_logs: Callable[[], DataFrame] | None = None
+    drop_repeats: bool = False
+    fold_every: int | None = None
+    session_servers: str | None = None
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
         """Classify one batch and write every table.
@@ -89,28 +103,41 @@ class UsageJob:
         self.process_messages(normalize(raw), batch_id)
 
     def process_messages(self, messages: DataFrame, batch_id: int) -> None:
+        spark, sinks = messages.sparkSession, self.sinks
+        # A batch that runs again does not count until it is whole again.
+        remove_path(spark, f"{sinks.metrics}/batch_id={batch_id}")
         patterns = self.load_patterns()
         labels = self.load_labels() if self.load_labels else None
+        if self.drop_repeats:
+            seen = batches(spark, sinks, "seen_ids").where(F.col("batch_id") < batch_id)
+            messages = without_repeats(messages, seen)
         classified = attach_category_id(classify(messages, patterns, labels), patterns)
         # Read by all writes below. A lost block is computed again from the source.
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def write(df: DataFrame, name: str) -> None:
+            write_batch(df, sinks.table(name), batch_id)
+
         try:
-            for record_id, path in (
-                ("usage_log_id", self.sinks.usage_log_updates),
-                ("categorized_data_id", self.sinks.categorized_updates),
-            ):
-                write_batch(latest_per_id(classified, record_id, "category_id"), path, batch_id)
-            deltas = daily_totals(leaderboard_entries(classified), self.scale)
-            write_batch(
-                deltas.withColumn("duration", F.col("duration").cast("double")),
-                self.sinks.leaderboard_deltas,
-                batch_id,
-            )
-            write_batch(session_scores(classified), self.sinks.session_scores, batch_id)
-            write_batch(unresolved_keys(classified), self.sinks.to_label, batch_id)
-            write_batch(batch_metrics(classified), self.sinks.metrics, batch_id)
+            updates = latest_per_id(classified, "usage_log_id", "category_id")
+            write(updates, "usage_log_updates")
+            write(latest_per_id(classified, "categorized_data_id", "category_id"), "categorized_updates")
+            write(daily_totals(leaderboard_entries(classified)), "leaderboard_deltas")
+            write(session_scores(classified), "session_scores")
+            write(unresolved_keys(classified), "to_label")
+            if self.drop_repeats:
+                ids = classified.where(valid_id(F.col("usage_log_id")))
+                write(ids.select(F.lower("usage_log_id").alias("record_id")).distinct(), "seen_ids")
+            if self.load_usage_logs:
+                counts = update_counts(self.load_usage_logs(), "usage_log_id", "category_id", updates)
+                write(counts, "update_counts")
+            if self.session_servers:
+                write_session_events(session_scores(classified), self.session_servers)
+            write(batch_metrics(classified), "metrics")
         finally:
             classified.unpersist()
+        if self.fold_every and batch_id and batch_id % self.fold_every == 0:
+            fold(spark, sinks, batch_id - 1)  # batches before this one never run again
 
     def start(
         self, raw_stream: DataFrame, interval: str | None = "2 seconds", normalized: bool = False
@@ -145,71 +172,92 @@ def batch_metrics(classified: DataFrame) -> DataFrame:
 # ---- Reading the tables back ------------------------------------------------
 
 
-def current_leaderboard(
-    spark: SparkSession, sinks: Sinks, scale: int | None = None, folded: str | None = None, after: int = -1
-) -> DataFrame:
-    """The leaderboard as of the last finished batch.
-
-    ``folded`` is a path written by ``fold_deltas`` for all batches up to ``after``.
-    """
-    deltas = read_batches(spark, sinks.leaderboard_deltas, DAILY_TOTALS)
-    deltas = deltas.where(F.col("batch_id") > after).select(*DAILY_TOTALS.fieldNames())
-    if folded:
-        deltas = deltas.unionByName(spark.read.schema(DAILY_TOTALS).parquet(folded))
-    return merge_deltas(deltas, scale)
-
-
-def fold_deltas(spark: SparkSession, sinks: Sinks, path: str, upto: int, scale: int | None = None) -> str:
-    """Merge the deltas of all batches up to ``upto`` into one snapshot of daily totals."""
-    deltas = read_batches(spark, sinks.leaderboard_deltas, DAILY_TOTALS).where(F.col("batch_id") <= upto)
-    amount = F.col("duration") if scale is None else F.col("duration").cast(f"decimal(18,{scale})")
-    totals = deltas.groupBy("user_id", "category", "day").agg(F.sum(amount).cast("double").alias("duration"))
-    return write_snapshot(totals, path)
-
+def last_fold(spark: SparkSession, sinks: Sinks) -> tuple[int, str | None]:
+    """The last batch of the latest fold, and its folder."""
+    found = read_batches(spark, sinks.folds, FOLDS).orderBy(F.desc("batch_id")).first()
+    return (found.batch_id, found.path) if found else (-1, None)
 
-def current_updates(
-    spark: SparkSession, root: str, folded: str | None = None, after: int = -1
-) -> DataFrame:
-    """The last category written for each record, over all batches.
 
-    ``folded`` is a path written by ``fold_updates`` for all batches up to ``after``.
-    """
-    batches = read_batches(spark, root, CATEGORY_UPDATES).where(F.col("batch_id") > after)
-    if folded:
-        # Older than any batch still to be read.
-        old = spark.read.schema(CATEGORY_UPDATES).parquet(folded).withColumn("batch_id", F.lit(after))
-        batches = batches.unionByName(old)
-    return _last_updates(batches)
+def batches(spark: SparkSession, sinks: Sinks, name: str) -> DataFrame:
+    """A table's rows of all finished batches, with their ``batch_id``; what is folded has that of the fold."""
+    upto, folder = last_fold(spark, sinks)
+    written = read_batches(spark, sinks.table(name), TABLES[name]).where(F.col("batch_id") > upto)
+    finished = read_batches(spark, sinks.metrics, BATCH_METRICS).where(F.col("batch_id") > upto)
+    rows = written.join(finished.select("batch_id").distinct(), "batch_id", "left_semi")
+    if folder:
+        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{folder}/{name}"))
+    return rows
 
 
-def _last_updates(batches: DataFrame) -> DataFrame:
-    last = batches.groupBy("record_id").agg(
-        F.max(F.struct("batch_id", "seq", "category_id")).alias("last")
-    )
+def _last_updates(rows: DataFrame) -> DataFrame:
+    last = rows.groupBy("record_id").agg(F.max(F.struct("batch_id", "seq", "category_id")).alias("last"))
     return last.select("record_id", "last.category_id", "last.seq")
 
 
-def fold_updates(spark: SparkSession, root: str, path: str, upto: int) -> str:
-    """Merge the updates of all batches up to ``upto`` into one snapshot."""
-    batches = read_batches(spark, root, CATEGORY_UPDATES).where(F.col("batch_id") <= upto)
-    return write_snapshot(_last_updates(batches), path)
+def fold(spark: SparkSession, sinks: Sinks, upto: int) -> str:
+    """One snapshot per table of all finished batches up to ``upto``; returns its folder.
+
+    The fold counts once it is listed, which is the last thing written. Batches and snapshots of the fold
+    before are then removed: a reader that began before this fold still finds its own files.
+    """
+    before, _ = last_fold(spark, sinks)
+    folder = f"{sinks.root}/folded/{upto}-{uuid.uuid4().hex}"
+    for name in TABLES:
+        rows = batches(spark, sinks, name).where(F.col("batch_id") <= upto)
+        if name.endswith("_updates"):
+            rows = _last_updates(rows)
+        elif name == "leaderboard_deltas":
+            rows = merged_days(rows)
+        elif name in ("to_label", "seen_ids"):
+            rows = rows.drop("batch_id").distinct()
+        if "batch_id" not in rows.columns:
+            rows = rows.withColumn("batch_id", F.lit(upto).cast("bigint"))
+        write_snapshot(rows, f"{folder}/{name}")
+    listed = spark.range(1).select(F.lit(folder).alias("path"))
+    write_batch(listed, sinks.folds, upto)
+    _retire(spark, sinks, before, upto)
+    return folder
+
+
+def _retire(spark: SparkSession, sinks: Sinks, before: int, upto: int) -> None:
+    """Remove the batches up to ``before`` and the folds older than it."""
+    old = read_batches(spark, sinks.folds, FOLDS).where(F.col("batch_id") < before).collect()  # one or two rows
+    for row in old:
+        remove_path(spark, row.path)
+        remove_path(spark, f"{sinks.folds}/batch_id={row.batch_id}")
+    if before < 0:
+        return
+    done = read_batches(spark, sinks.metrics, BATCH_METRICS).where(F.col("batch_id") <= before)
+    # As many as lie between two folds.
+    for row in done.select("batch_id").distinct().collect():
+        for name in TABLES:
+            remove_path(spark, f"{sinks.table(name)}/batch_id={row.batch_id}")
+
+
+def current_leaderboard(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    """The leaderboard as of the last finished batch."""
+    return merge_deltas(batches(spark, sinks, "leaderboard_deltas"))
+
+
+def current_updates(spark: SparkSession, sinks: Sinks, name: str = "usage_log_updates") -> DataFrame:
+    """The last category written for each record, over all finished batches."""
+    return _last_updates(batches(spark, sinks, name))
 
 
 def current_usage_logs(spark: SparkSession, usage_logs: DataFrame, sinks: Sinks) -> DataFrame:
     """Stored usage logs with the categories the stream has set so far."""
-    updates = current_updates(spark, sinks.usage_log_updates)
-    return set_by_id(usage_logs, "usage_log_id", "category_id", updates)
+    return set_by_id(usage_logs, "usage_log_id", "category_id", current_updates(spark, sinks))
 
 
 def current_categorized(spark: SparkSession, categorized_data: DataFrame, sinks: Sinks) -> DataFrame:
     """Stored natural keys with the categories the stream has set so far."""
-    updates = current_updates(spark, sinks.categorized_updates)
+    updates = current_updates(spark, sinks, "categorized_updates")
     return set_by_id(categorized_data, "categorized_data_id", "category_id", updates)
 
 
 def open_keys(spark: SparkSession, sinks: Sinks, learned_labels: DataFrame) -> DataFrame:
     """Keys some batch could not resolve and that have no answer yet, each once."""
-    seen = read_batches(spark, sinks.to_label, OPEN_KEYS).select(*OPEN_KEYS.fieldNames()).distinct()
+    seen = batches(spark, sinks, "to_label").select(*OPEN_KEYS.fieldNames()).distinct()
     answered = learned_labels.where(F.col("label").isNotNull()).select("query").distinct()
     return seen.join(answered, "query", "left_anti")
 
@@ -226,20 +274,24 @@ def label_open_keys(
 
 
 def current_session_scores(spark: SparkSession, sinks: Sinks) -> DataFrame:
-    return read_batches(spark, sinks.session_scores, SESSION_SCORES)
+    return batches(spark, sinks, "session_scores")
 
 
 def current_metrics(spark: SparkSession, sinks: Sinks) -> DataFrame:
-    return read_batches(spark, sinks.metrics, BATCH_METRICS)
+    return batches(spark, sinks, "metrics")
+
+
+def current_update_counts(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    return batches(spark, sinks, "update_counts")
 
 
 def live_daily_usage(classified: DataFrame, lateness: str) -> DataFrame:
-    """Optional stateful variant: usage per local day, dropped from state ``lateness`` after the day.
+    """A live view of usage per local day, for a dashboard: it forgets a day ``lateness`` after its end.
 
-    Days of the boards' zone start at 15:00 UTC. Off by default, since late
-    messages normally still count.
+    It counts the entries that the boards count, but a message that comes later than that is in the
+    boards only, which is why no table of the job is made from it. Days of the boards' zone start at 15:00 UTC.
     """
-    timed = classified.withColumn("event_time", F.timestamp_seconds("ts_epoch"))
+    timed = classified.where(~excluded_entry()).withColumn("event_time", F.timestamp_seconds("ts_epoch"))
     local_day = F.window("event_time", "1 day", startTime="15 hours")
     return (
         timed.withWatermark("event_time", lateness)

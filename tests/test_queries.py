@@ -4,12 +4,13 @@ import pytest
 
 import __spark_entry__ as entry_module
 from oracle import difference, duck
+from tallyboard.plans import catalog, oracles
 from tallyboard.plans.inputs import messages
 from tallyboard.session import configure
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = catalog.all_queries()
+ORACLES = oracles.all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,7 +1,10 @@
 """The job over split files: same tables as one batch, however often a batch runs."""
 
 import datetime as dt
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -20,7 +23,7 @@ from tallyboard.schemas import (
     USAGE_LOGS,
     ZERO_ID,
 )
-from tallyboard.sources.messages import drop_repeats, normalize, read_raw, stream_raw
+from tallyboard.sources.messages import from_json_records, normalize, read_raw, stream_raw
 from tallyboard.sources.tables import read_batches, write_batch
 from tallyboard.streaming import app
 from tallyboard.streaming import pipeline as pl
@@ -95,7 +98,7 @@ def tables(spark, sinks):
         "leaderboard": rows_of(pl.current_leaderboard(spark, sinks)),
         "scores": rows_of(pl.current_session_scores(spark, sinks).drop("batch_id")),
         "logs": rows_of(pl.current_usage_logs(spark, stored_logs(spark), sinks)),
-        "categorized": rows_of(pl.current_updates(spark, sinks.categorized_updates).drop("seq")),
+        "categorized": rows_of(pl.current_updates(spark, sinks, "categorized_updates").drop("seq")),
         "metrics": rows_of(
             pl.current_metrics(spark, sinks).groupBy("method").agg(F.sum("messages"), F.sum("excluded"), F.sum("invalid_ids"), F.sum("ended"))
         ),
@@ -174,43 +177,114 @@ def test_dictionary_is_read_again_for_each_batch(spark, source, tmp_path):
     versions = iter([0, 100, 100])
     job = make_job(spark, tmp_path / "out", load_patterns=lambda: patterns(spark, next(versions)))
     job.run_available(stream(spark, source))
-    ids = read_batches(spark, job.sinks.usage_log_updates, CATEGORY_UPDATES).where(F.col("category_id") != ZERO_ID)
+    ids = read_batches(spark, job.sinks.table("usage_log_updates"), CATEGORY_UPDATES).where(F.col("category_id") != ZERO_ID)
     by_batch = {r.batch_id: set(r.ids) for r in ids.groupBy("batch_id").agg(F.collect_set("category_id").alias("ids")).collect()}
     assert by_batch[0] <= {hex_id(i) for i in (1, 2, 3)}
     assert by_batch[1] | by_batch[2] <= {hex_id(i) for i in (101, 102, 103)}
 
 
-def test_folded_deltas_give_the_same_leaderboard(spark, source, tmp_path):
+def test_a_batch_counts_when_it_is_whole(spark, source, tmp_path, monkeypatch):
     job = make_job(spark, tmp_path / "out")
-    job.run_available(stream(spark, source))
-    want = rows_of(pl.current_leaderboard(spark, job.sinks))
-    folded = pl.fold_deltas(spark, job.sinks, str(tmp_path / "folded-1"), upto=1)
-    assert rows_of(pl.current_leaderboard(spark, job.sinks, folded=folded, after=1)) == want
+    raw = read_raw(spark, source, "json")
+    job.process(raw.where("seq < 60"), 0)
+    before = tables(spark, job.sinks)
+
+    def broken(df, root, batch_id):
+        if root == job.sinks.metrics:
+            raise RuntimeError("lost before the metrics")
+        write_batch(df, root, batch_id)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pl, "write_batch", broken)
+        with pytest.raises(RuntimeError):
+            job.process(raw.where("seq >= 60"), 1)
+        assert tables(spark, job.sinks) == before  # all but one table of batch 1 are there
+        with pytest.raises(RuntimeError):
+            job.process(raw.where("seq < 60"), 0)
+    assert pl.current_leaderboard(spark, job.sinks).count() == 0  # batch 0 is being written again
+    job.process(raw.where("seq < 60"), 0)
+    assert tables(spark, job.sinks) == before
 
 
-def test_repeats_count_twice_unless_dropped(spark, tmp_path):
-    row = {"pomodoroUsageLogId": hex_id(1), "userId": "u", "duration": "2", "timestamp": "1700000000"}
-    spark.createDataFrame([(1, row), (2, row)], RAW_MESSAGES).coalesce(1).write.json(str(tmp_path / "in"))
-    for label, wanted in (("kept", 4.0), ("dropped", 2.0)):
-        job = make_job(spark, tmp_path / label)
-        messages = normalize(stream_raw(spark, str(tmp_path / "in"), "json"))
-        if label == "dropped":
-            messages = drop_repeats(messages, "1 hour")
-        job.run_available(messages, normalized=True)
-        scores = {r.score for r in pl.current_leaderboard(spark, job.sinks).collect()}
-        assert scores == {wanted}
+def test_folds_change_nothing_and_old_batches_go(spark, source, tmp_path):
+    raw = read_raw(spark, source, "json")
+    plain, folding = make_job(spark, tmp_path / "plain"), make_job(spark, tmp_path / "folding", fold_every=1)
+    for batch_id in range(4):
+        part = raw.where(F.col("seq") % 4 == batch_id)
+        plain.process(part, batch_id)
+        folding.process(part, batch_id)
+        assert tables(spark, folding.sinks) == tables(spark, plain.sinks)
+        opened = [rows_of(pl.open_keys(spark, job.sinks, labels(spark))) for job in (plain, folding)]
+        assert opened[0] == opened[1]
+    left = {r.batch_id for r in read_batches(spark, folding.sinks.metrics, BATCH_METRICS).collect()}
+    assert left == {2, 3}  # the last fold, of batches 0 to 2, keeps what the fold before did not hold
+    assert pl.last_fold(spark, folding.sinks)[0] == 2
+
+
+def raw_message(seq, record_id=None, user="u", ts="1700000000"):
+    values = {"userId": user, "duration": "2"}
+    values |= {} if record_id is None else {"pomodoroUsageLogId": record_id}
+    return seq, values | ({} if ts is None else {"timestamp": ts})
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_repeats_count_twice_unless_dropped(spark, tmp_path, ansi):
+    upper = hex_id(10).upper()
+    first = [raw_message(1, hex_id(1)), raw_message(2, hex_id(1)), raw_message(3, user="a"), raw_message(4, user="b"), raw_message(5, "bad-id", "c")]
+    second = [raw_message(6, hex_id(1)), raw_message(7, hex_id(2), "late", None), raw_message(8, hex_id(10)), raw_message(9, upper)]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for drops, wanted in ((False, {"u": 10.0, "a": 2.0, "b": 2.0, "c": 2.0, "late": 2.0}), (True, {"u": 4.0, "a": 2.0, "b": 2.0, "c": 2.0, "late": 2.0})):
+            job = make_job(spark, tmp_path / f"{drops}", drop_repeats=drops)
+            for batch_id, rows in enumerate((first, second, [])):
+                job.process(spark.createDataFrame(rows, RAW_MESSAGES), batch_id)
+            job.process(spark.createDataFrame(second, RAW_MESSAGES), 1)  # again
+            days = pl.current_leaderboard(spark, job.sinks).where("period_kind = 'month'")
+            assert {r.user_id: r.score for r in days.groupBy("user_id").agg(F.sum("score").alias("score")).collect()} == wanted
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_update_counts_of_a_batch(spark, source, tmp_path):
+    job = make_job(spark, tmp_path / "out", load_usage_logs=lambda: stored_logs(spark))
+    job.process(read_raw(spark, source, "json"), 0)
+    row = pl.current_update_counts(spark, job.sinks).first()
+    updates = {r.record_id: r.category_id for r in pl.current_updates(spark, job.sinks).collect()}
+    stored = {r.usage_log_id: r.category_id for r in stored_logs(spark).collect()}
+    hit = [i for i in updates if i in stored]
+    assert (row.updates, row.matched, row.no_op) == (len(updates), len(hit), len(updates) - len(hit))
+    assert row.modified == sum(updates[i] != stored[i] for i in hit) and 0 < row.modified < row.matched < row.updates
+
+
+def test_arrival_follows_the_broker_time(spark):
+    def record(partition, offset, second, app):
+        value = f'{{"userId": "u", "app": "{app}", "categorizedDataId": "{hex_id(7)}"}}'
+        return partition, offset, dt.datetime(2024, 1, 1, 0, 0, second), value
+
+    records = [record(5, 0, 1, "old"), record(0, 1_000_000, 2, "new"), record(0, 999_999, 2, "between")]
+    raw = from_json_records(spark.createDataFrame(records, "partition int, offset long, timestamp timestamp, value string"))
+    latest = rec.latest_per_id(normalize(raw), "categorized_data_id", "app")
+    assert [r.app for r in latest.collect()] == ["new"]
+    assert normalize(raw).select("seq").distinct().count() == 3
+
+
+def test_session_events_are_json_records(spark):
+    from tallyboard.operators.sessions import session_events
+
+    scores = spark.createDataFrame([("u1", "2024-01-05", 3)], "user_id string, session_date string, session_no long")
+    assert [tuple(r) for r in session_events(scores).collect()] == [
+        ("u1", '{"userId":"u1","sessionDate":"2024-01-05","session":"3"}')
+    ]
 
 
 def test_live_daily_usage(spark, source):
     messages = normalize(stream_raw(spark, source, "json")).withColumn("category", F.lit("Any"))
-    live = pl.live_daily_usage(messages.where("duration > 0"), "100000 days")
+    live = pl.live_daily_usage(messages, "100000 days")
     query = live.writeStream.outputMode("complete").format("memory").queryName("live_usage").trigger(availableNow=True).start()
     query.awaitTermination()
-    entries = normalize(read_raw(spark, source, "json")).where("duration > 0").withColumn("category", F.lit("Any"))
-    finite = "duration < double('infinity')"
-    got = spark.table("live_usage").where(finite).select("user_id", "day", "duration")
-    want = lb.daily_totals(entries).where(finite).select("user_id", "day", "duration")
-    assert rows_of(got) == rows_of(want)
+    entries = normalize(read_raw(spark, source, "json")).withColumn("category", F.lit("Any"))
+    want = lb.daily_totals(lb.leaderboard_entries(entries)).select("user_id", "day", "duration")
+    assert rows_of(spark.table("live_usage").select("user_id", "day", "duration")) == rows_of(want)
 
 
 def test_labels_come_back_into_the_stream(spark, source, tmp_path):
@@ -239,17 +313,6 @@ def test_labels_come_back_into_the_stream(spark, source, tmp_path):
     assert [r.batch_id for r in by_label.collect()] == [1]
 
 
-def test_folded_updates_are_older_than_later_batches(spark, tmp_path):
-    root, schema = str(tmp_path / "u"), "record_id string, category_id string, seq bigint"
-    for batch_id, rows in enumerate(([("a", "1", 9), ("b", "1", 1)], [("a", "2", 3)], [("b", "3", 0)])):
-        write_batch(spark.createDataFrame(rows, schema), root, batch_id)
-    want = [("a", "2", 3), ("b", "3", 0)]
-    assert rows_of(pl.current_updates(spark, root)) == want
-    folded = pl.fold_updates(spark, root, str(tmp_path / "folded"), upto=1)
-    assert rows_of(spark.read.parquet(folded)) == [("a", "2", 3), ("b", "1", 1)]
-    assert rows_of(pl.current_updates(spark, root, folded, after=1)) == want
-
-
 def test_command_line_job(spark, source, tmp_path):
     patterns(spark).write.parquet(str(tmp_path / "patterns"))
     labels(spark).write.parquet(str(tmp_path / "labels" / "batch_id=0"))
@@ -257,3 +320,16 @@ def test_command_line_job(spark, source, tmp_path):
     app.main([*argv, "--out", str(tmp_path / "out"), "--once"])
     got = tables(spark, pl.Sinks(str(tmp_path / "out")))
     assert got == batch_tables(spark, source)
+
+
+def test_entry_point_runs_by_itself(spark, source, tmp_path):
+    """As the README says, in a process of its own and from another folder."""
+    patterns(spark).write.parquet(str(tmp_path / "patterns"))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    argv = ["--messages", source, "--patterns", str(tmp_path / "patterns"), "--out", str(tmp_path / "out"), "--once"]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, f"{root}/usage_job.py", *argv], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert pl.current_leaderboard(spark, pl.Sinks(str(tmp_path / "out"))).count() > 0
