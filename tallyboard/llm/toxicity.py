@@ -113,35 +113,38 @@ class Reader:
     """Turns a text into clauses of symbols, with a lexicon of weighted stems."""
 
     stems: dict[str, float]
-    known: dict[str, tuple[str, float]] = field(default_factory=dict)
+    known: dict[str, str] = field(default_factory=dict)  # word -> symbol
+    weights: dict[str, float] = field(default_factory=dict)  # of the insults among them
     grammar: Grammar = field(default_factory=Grammar)
 
-    def symbol(self, word: str) -> tuple[str, float]:
+    def symbol(self, word: str) -> str:
         weight = max(self.stems.get(stem, 0.0) for stem in stems_of(word))
         if weight > 0:
-            return "I", weight
+            self.weights[word] = weight
+            return "I"
         for symbol, words in (("T", THREATS), ("Y", TARGETS), ("N", NEGATIONS), ("R", REPORTS)):
             if word in words:
-                return symbol, 0.0
-        return ("E" if word in _ENDS else "Q" if word in _QUOTES else "W"), 0.0
+                return symbol
+        return "E" if word in _ENDS else "Q" if word in _QUOTES else "W"
 
     def outcomes(self, text: str) -> np.ndarray:
         words = _TOKEN.findall(text.lower())
         known = self.known
-        for word in set(words) - known.keys():
-            known[word] = self.symbol(word)
-        read = [known[word] for word in words]
         if len(known) > KNOWN_WORDS:
             known.clear()
-        line = "".join(symbol for symbol, _ in read)
+            self.weights.clear()
+        for word in set(words):
+            if word not in known:
+                known[word] = self.symbol(word)
+        line = "".join(map(known.__getitem__, words))
         total = np.zeros(len(OUTCOMES))
         if "I" not in line and "T" not in line:
             return total
         at = 0
         for clause in line.split("E"):
             if "I" in clause or "T" in clause:
-                weights = [w for s, w in read[at : at + len(clause)] if s == "I"]
-                total += self.grammar.outcomes(clause, weights)
+                given = [self.weights[w] for w, s in zip(words[at : at + len(clause)], clause, strict=True) if s == "I"]
+                total += self.grammar.outcomes(clause, given)
             at += len(clause) + 1
         return total
 
