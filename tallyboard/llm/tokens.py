@@ -15,9 +15,13 @@ from pyspark.sql.window import Window
 
 from tallyboard.llm.common import slices, stored
 
-#: Chunks whose ids a task remembers, and the longest that it does.
-KNOWN_CHUNKS = 400_000
-KNOWN_BYTES = 64
+#: Words whose ids a worker remembers in each of two generations, the longest that it does, and how many it encodes at once.
+KNOWN_WORDS = 250_000
+KNOWN_BYTES = 48
+ENCODED_AT_ONCE = 200
+
+#: Marks that may follow a word; a run of them is one piece of its own to the tokenizer.
+MARKS = b".,;:!?*&%$#)\"-"
 
 END_ID = 2
 
@@ -25,30 +29,82 @@ END_ID = 2
 class ChunkEncoder:
     """Ids of texts in UTF-8, chunk by chunk between ASCII white space.
 
-    For tokenizers that drop white space and never look beyond it, such as BPE
-    with word ends; the ids are those of the whole text. Repeated chunks are encoded once.
+    For tokenizers that lower the case, drop white space and never look beyond a run of letters or of
+    marks, such as BPE with word ends; the ids are those of the whole text. A chunk is a word and the
+    marks after it; each word is encoded once as long as it is remembered.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
+        self.young: dict[bytes, bytes] = {}  # ids as 32-bit numbers, one after another
+        self.old: dict[bytes, bytes] = {}
 
     def encode(self, bodies: list[bytes]) -> list[np.ndarray]:
         cut = [body.split() for body in bodies]
-        new = list(set(chain.from_iterable(cut)) - self.known.keys())
-        if new:
-            found = self.tokenizer.encode_batch([chunk.decode() for chunk in new], add_special_tokens=False)
-            self.known.update(zip(new, (e.ids for e in found), strict=True))
-        get = self.known.__getitem__
-        ids = [np.fromiter(chain.from_iterable(map(get, chunks)), np.int32) for chunks in cut]
-        for chunk in new:
-            if len(chunk) > KNOWN_BYTES:
-                del self.known[chunk]
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
-        return ids
+        chunks = set(chain.from_iterable(cut))
+        parts = {chunk: _word_and_marks(chunk) for chunk in chunks}
+        words = self._words({piece for pair in parts.values() for piece in pair if piece})
+        ids = {chunk: words[word] + words[marks] if marks else words[word] for chunk, (word, marks) in parts.items()}
+        return [np.frombuffer(b"".join(map(ids.__getitem__, row)), np.int32) for row in cut]
+
+    def _words(self, wanted: set[bytes]) -> dict[bytes, bytes]:
+        if len(self.young) > KNOWN_WORDS:
+            self.old, self.young = self.young, {}
+        found, new = {}, []
+        for word in wanted:
+            ids = self.young.get(word)
+            if ids is None and (ids := self.old.get(word)) is not None:
+                self.young[word] = ids
+            if ids is None:
+                new.append(word)
+            else:
+                found[word] = ids
+        texts = [word.decode() for word in new]
+        plain = [k for k, text in enumerate(texts) if text.isalpha()]
+        for at in range(0, len(plain), ENCODED_AT_ONCE):
+            some = plain[at : at + ENCODED_AT_ONCE]
+            for k, ids in zip(some, self._runs([texts[k] for k in some]), strict=True):
+                found[new[k]] = ids
+        for word, text in zip(new, texts, strict=True):
+            if word not in found:
+                found[word] = self._whole(text)
+            if len(word) <= KNOWN_BYTES:
+                self.young[word] = found[word]
+        return found
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
+
+    def _runs(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, all of letters: encoded in one go, if each proves to be one piece to the tokenizer."""
+        done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        owner, ids = np.array(done.word_ids), np.array(done.ids, np.int32).tobytes()
+        starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))).tolist()
+        if len(starts) != len(texts):
+            return [self._whole(text) for text in texts]
+        return [ids[4 * a : 4 * b] for a, b in zip(starts, [*starts[1:], len(owner)], strict=True)]
+
+
+def _word_and_marks(chunk: bytes) -> tuple[bytes, bytes]:
+    """A chunk in lower case as a word and the marks after it; in one piece where cutting could change its ids."""
+    if b"<|" in chunk:  # may be a special token
+        return chunk, b""
+    word = chunk.rstrip(MARKS)
+    if not word or len(word) == len(chunk) or not word.decode()[-1].isalpha():
+        return chunk.lower(), b""
+    return word.lower(), chunk[len(word) :]
+
+
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def encoder_of(path: str) -> ChunkEncoder:
+    """The worker's own encoder, which remembers words from task to task."""
+    if path not in _encoders:
+        _encoders[path] = ChunkEncoder(path)
+    return _encoders[path]
 
 
 @dataclass(frozen=True)
@@ -96,7 +152,7 @@ def write_tokens(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = ChunkEncoder(tokenizer), 0
+        encoder, before = encoder_of(tokenizer), 0
         for batch in slices(batches, "body"):
             ids = encoder.encode([body or b"" for body in batch.column("body").to_pylist()])
             sizes = np.array([len(x) + 1 for x in ids], np.int64)
@@ -165,7 +221,7 @@ def token_lengths(documents: DataFrame, tokenizer: str, text: str = "text", doc_
     """(doc_id, n_tokens) of every document; a null text has none."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in slices(batches, "body"):
             sizes = [len(x) for x in encoder.encode([b or b"" for b in batch.column("body").to_pylist()])]
             yield pa.RecordBatch.from_arrays(

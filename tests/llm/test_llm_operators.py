@@ -318,6 +318,7 @@ ODD_TEXTS = [
     (11, "état É ΟΔΟΣ ΟΔΟΣ. İstanbul ﬁn ½ 日本語テキスト"),
     (-3, "first"),
     (12, "a" * 5_000),
+    (13, "Word, word. WORD!! (word) word-word- a1. x\" --- ... don't. <|endoftext|>. é, É; e\u0301. naïve: ;*&%$#)-. _._"),
 ]
 
 
