@@ -19,7 +19,9 @@ STEM_LENGTHS = (0, 4, 5, 6)
 #: The most stems that the lexicon holds, the surest first, and how sure they have to be (G statistic).
 LEXICON_ROWS = 2_000
 SURE = 30.0
-KNOWN_WORDS = 1_000_000
+#: Toxic documents that a stem needs for each other document that has it.
+PURE = 4
+KNOWN_WORDS = 300_000
 
 # Function words of the grammar, in English, German, French and Spanish.
 TARGETS = frozenset("you your yours yourself he she they him her them du dich dir dein deine ihr euch tu toi te ton ta vous votre tú usted ustedes vosotros".split())
@@ -160,29 +162,41 @@ def stems_of(word: str) -> list[str]:
 def learn_lexicon(chosen: DataFrame, rows: int = LEXICON_ROWS) -> dict[str, float]:
     """Stems found in toxic documents far more often than in others, weighted by their log odds.
 
-    ``chosen`` holds text and y. Documents are counted per stem in Spark; the driver gets at most ``rows`` stems.
+    ``chosen`` holds text and y. A stem's toxic documents count at most as often as different words stand before it
+    there: the words of a document that was copied many times are no evidence, as they always follow the same word.
+    All counting is done in Spark; the driver gets at most ``rows`` stems.
     """
-    words = F.array_distinct(F.split(F.lower(text_or_empty()), r"[^\p{L}]+"))
-    stems = F.flatten(
-        F.transform(
-            F.filter(words, lambda w: w != ""),
-            lambda w: F.array(
-                F.concat(F.lit("="), w),
-                *[F.when(F.char_length(w) > n, F.substring(w, 1, n)) for n in STEM_LENGTHS if n],
-            ),
-        )
-    )
     sizes = chosen.agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).first()
     if not sizes.p or not sizes.n:
         return {}
     p_all, n_all = float(sizes.p), float(sizes.n)
-    counted = (
-        chosen.select(F.explode(F.array_distinct(stems)).alias("stem"), "y")
+    words = F.filter(F.split(F.lower(text_or_empty()), r"[^\p{L}]+"), lambda w: w != "")
+    listed = chosen.select("y", words.alias("words"))
+
+    def stems(word: Column) -> Column:
+        shorter = [F.when(F.char_length(word) > n, F.substring(word, 1, n)) for n in STEM_LENGTHS if n]
+        return F.array(F.concat(F.lit("="), word), *shorter)
+
+    found = (
+        listed.select(F.explode(F.array_distinct(F.flatten(F.transform(F.array_distinct("words"), stems)))).alias("stem"), "y")
         .where("stem is not null")
         .groupBy("stem")
         .agg(F.sum("y").cast("double").alias("p"), F.sum(1 - F.col("y")).cast("double").alias("n"))
         .where("p >= 3")
     )
+    before = F.concat(F.array(F.lit("")), F.col("words"))
+    contexts = (
+        listed.where("y = 1")
+        .select(F.explode(F.arrays_zip(F.col("words").alias("word"), before.alias("before"))).alias("at"))
+        .where("at.word is not null")
+        .select("at.word", "at.before")
+        .distinct()
+        .select(F.explode(stems(F.col("word"))).alias("stem"), "before")
+        .where("stem is not null")
+        .groupBy("stem")
+        .agg(F.count_distinct("before").cast("double").alias("contexts"))
+    )
+    found = found.join(contexts, "stem").withColumn("p", F.least("p", "contexts"))
     odds = F.log((F.col("p") + 0.5) / (p_all + 1)) - F.log((F.col("n") + 0.5) / (n_all + 1))
     both, share = F.col("p") + F.col("n"), p_all / (p_all + n_all)
     sure = 2 * (
@@ -190,10 +204,14 @@ def learn_lexicon(chosen: DataFrame, rows: int = LEXICON_ROWS) -> dict[str, floa
         + F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / (both * (1 - share)))).otherwise(0.0)
     )
     # A stem counts when most documents that have it are toxic.
-    found = counted.withColumns({"weight": odds, "sure": sure}).where(
-        (F.col("sure") >= SURE) & (F.col("p") > 4 * F.col("n"))
+    best = (
+        found.withColumns({"weight": odds, "sure": sure})
+        .where((F.col("sure") >= SURE) & (F.col("p") > PURE * F.col("n")))
+        .orderBy(F.desc("sure"), "stem")
+        .select("stem", "weight")
+        .limit(rows)
+        .collect()
     )
-    best = found.orderBy(F.desc("sure"), "stem").select("stem", "weight").limit(rows).collect()
     return {row.stem: float(row.weight) / 4 for row in best}
 
 
