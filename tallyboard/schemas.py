@@ -29,6 +29,29 @@ VALID_LABELS = (
     "Finance",
 )
 
+# Categories offered to the labeller. Not the same list: Communication and Music
+# are offered but rejected on return.
+OFFERED_LABELS = (
+    "SNS",
+    "Documentation",
+    "Design",
+    "Communication",
+    "LLM",
+    "Development",
+    "Productivity",
+    "Video Editing",
+    "Entertainment",
+    "File Management",
+    "System & Utilities",
+    "Game",
+    "Education",
+    "Finance",
+    "Browsing",
+    "Marketing",
+    "Music",
+    "E-commerce & Shopping",
+)
+
 # Categories that also count on the aggregate work board.
 WORK_CATEGORIES = (
     "Development",
