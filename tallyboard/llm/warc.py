@@ -187,6 +187,9 @@ _READ_ARROW = pa.schema(
     + [("payload_bytes", pa.int64()), ("payload", pa.binary())]
 )
 
+#: Bytes of a member that are unpacked at once.
+PIECE_BYTES = 16 << 10
+
 MEMBER, LINE = b"\x1f\x8b\x08", b"WARC/1."
 
 
@@ -252,14 +255,18 @@ def _check(digest: str | None, data: bytes, what: str, end: int) -> None:
 
 def parse_member(data: bytes, start: int) -> tuple[dict | None, int]:
     """The record in the gzip member at ``start`` and where the member ends; None for an empty member."""
-    unpacker = zlib.decompressobj(31)
+    unpacker, parts, at = zlib.decompressobj(31), [], start
     try:
-        plain = unpacker.decompress(memoryview(data)[start:], MOST_RECORD_BYTES)
+        while not unpacker.eof and at < len(data):  # in pieces, as the unpacker copies what follows the member
+            parts.append(unpacker.decompress(data[at : at + PIECE_BYTES]))
+            at += PIECE_BYTES
+            if sum(map(len, parts)) > MOST_RECORD_BYTES:
+                raise Damaged("content length")
     except zlib.error:
         raise Damaged("gzip member") from None
     if not unpacker.eof:
         raise Damaged("cut off")
-    end = len(data) - len(unpacker.unused_data)
+    plain, end = b"".join(parts), min(at, len(data)) - len(unpacker.unused_data)
     if not plain:
         return None, end
     try:
