@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,3 +42,17 @@ def month_period(day: Column) -> Column:
 
 def board_key(board: Column, period: Column) -> Column:
     return F.concat(F.lit(f"{BOARD_KEY_PREFIX}:"), board, F.lit(":"), period)
+
+
+def period_days(kind: str, period: str) -> tuple[dt.date, dt.date]:
+    """First and last day of a ``day``, ``week`` or ``month`` written as above."""
+    if kind == "day":
+        day = dt.date.fromisoformat(period)
+        return day, day
+    year, _, number = period.replace("W", "").replace("M", "").partition("-")
+    if kind == "week":
+        return dt.date.fromisocalendar(int(year), int(number), 1), dt.date.fromisocalendar(int(year), int(number), 7)
+    if kind == "month":
+        days = calendar.monthrange(int(year), int(number))[1]
+        return dt.date(int(year), int(number), 1), dt.date(int(year), int(number), days)
+    raise ValueError(f"no such kind of period: {kind}")

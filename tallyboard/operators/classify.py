@@ -32,7 +32,7 @@ from tallyboard.operators.patterns import (
     pattern_dictionary,
 )
 from tallyboard.schemas import DEFAULT_CATEGORY, ZERO_ID
-from tallyboard.session import new_run_dir
+from tallyboard.session import stored
 
 # A dictionary up to this size is fetched once and shipped with the plan.
 DICTIONARY_BOUND = BroadcastBound(rows=200_000, text_bytes=16 << 20)
@@ -169,13 +169,6 @@ def load_rules(category_patterns: DataFrame, bound: BroadcastBound | None = None
     return Rules(effective, bounded_rows(effective, bound or DICTIONARY_BOUND))
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` in the shared folder, so that it is computed once whatever reads it."""
-    path = new_run_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def with_url_category(
     messages: DataFrame, rules: Rules, strategy: str | None = None, probe: Column | None = None
 ) -> DataFrame:
@@ -187,8 +180,8 @@ def with_url_category(
         probed = messages.withColumn("url_probe", F.nullif(probe, F.lit("")))
         urls = probed.where(F.col("url_probe").isNotNull()).select(F.col("url_probe").alias("url")).distinct()
         frame = found.frame if found.rows is None else local_frame(found.frame, found.rows)
-        matched = url_categories_by_join(_written(urls, "urls"), frame).withColumnRenamed("url", "url_probe")
-        return attach(probed, _written(matched, "matched"), ["url_probe"]).drop("url_probe")
+        matched = url_categories_by_join(stored(urls, "urls"), frame).withColumnRenamed("url", "url_probe")
+        return attach(probed, stored(matched, "matched"), ["url_probe"]).drop("url_probe")
     pairs = [(row.pattern, row.category) for row in found.rows]
     if strategy == EXPRESSION or not pairs:
         return messages.withColumn("url_category", url_category_expression(probe, pairs))
@@ -270,8 +263,8 @@ def classify(
     few_labels = learned_labels is None or within_bound(learned_labels, bound or DEFAULT_BOUND)
     if rules.rows is not None and url_match != JOIN and few_labels:
         return _resolved(messages, rules, learned_labels, url_match, True)
-    keys = _written(messages.select(*KEY).distinct(), "keys")
-    resolved = _written(_resolved(keys, rules, learned_labels, url_match, few_labels), "resolved")
+    keys = stored(messages.select(*KEY).distinct(), "keys")
+    resolved = stored(_resolved(keys, rules, learned_labels, url_match, few_labels), "resolved")
     same = [F.col(f"resolved.{name}").eqNullSafe(F.col(f"messages.{name}")) for name in KEY]
     joined = messages.alias("messages").join(resolved.alias("resolved"), same, "left")
     return joined.select("messages.*", *[f"resolved.{name}" for name in ("category", "method", "is_llm")])

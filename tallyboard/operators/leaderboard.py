@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyboard.functions.periods import board_day, board_key, day_period, month_period, week_period
 from tallyboard.operators.lookup import attach
 from tallyboard.schemas import BOARD_ZONE, WORK_BOARD, WORK_CATEGORIES
-from tallyboard.session import new_run_dir
+from tallyboard.session import new_run_dir, stored
 
 DAY, WEEK, MONTH = "day", "week", "month"
 
@@ -33,17 +33,33 @@ def excluded_entry() -> Column:
     return ~finite | board_day(F.col("ts_epoch")).isNull()
 
 
+#: Amounts are counted in millionths, and the sum of those in two parts that cannot overflow.
+_UNIT = 1_000_000
+_PART = 1 << 20
+
+
 def total(amount: Column) -> Column:
     """Sum of doubles in which the order of adding does not show, never null for a group with a value.
 
-    Values that a decimal holds to the last digit are added as such; those too large or too
-    fine for it are added as doubles. Should the decimal sum overflow, all are.
+    Amounts below 10^9 that are whole millionths are summed as integers. The others, if a decimal holds them to the last
+    digit, are added as such; those too large or too fine for it are added as doubles. Should the decimal sum overflow, all are.
     """
-    as_decimal = amount.try_cast("decimal(38,16)")
-    fits = F.coalesce((F.abs(amount) < 1e15) & (as_decimal.cast("double") == amount), F.lit(False))
-    exact = F.try_sum(F.when(fits, as_decimal)).cast("double")
-    kept = F.coalesce(exact, F.sum(F.when(fits, amount)))
-    other = F.sum(F.when(~fits, amount))
+    units = F.rint(amount * _UNIT)
+    whole = F.coalesce((F.abs(amount) < 1e9) & (units / _UNIT == amount), F.lit(False))
+    counted = F.when(whole, units).cast("bigint")
+    high = F.sum(F.shiftright(counted, 20))
+    low = F.sum(counted.bitwiseAND(F.lit(_PART - 1).cast("bigint")))
+    as_decimal = F.when(~whole, amount).try_cast("decimal(38,16)")
+    fits = ~whole & F.coalesce((F.abs(amount) < 1e15) & (as_decimal.cast("double") == amount), F.lit(False))
+    fine = F.try_sum(F.when(fits, as_decimal))
+    other = F.sum(F.when(~whole & ~fits, amount))
+    sum_units = high.cast("decimal(38,0)") * F.lit(_PART).cast("decimal(8,0)") + low.cast("decimal(20,0)")
+    counted_sum = sum_units.cast("decimal(30,0)") / F.lit(_UNIT).cast("decimal(8,0)")
+    exact = F.when(fine.isNull(), counted_sum.cast("double")).otherwise(
+        F.coalesce(F.try_add(F.coalesce(counted_sum.cast("decimal(38,16)"), F.lit(0).cast("decimal(38,16)")), fine).cast("double"))
+    )
+    overflowed = F.sum(F.when(fits, amount)) + F.coalesce(counted_sum.cast("double"), F.lit(0.0))
+    kept = F.coalesce(exact, overflowed)
     return F.when(other.isNull(), kept).otherwise(F.coalesce(kept, F.lit(0.0)) + other)
 
 
@@ -182,3 +198,50 @@ def rank_all(board: DataFrame) -> DataFrame:
     return attach(located, offsets, ["key", "part"]).select(
         "key", "user_id", "score", F.expr("before + place - first_place + 1").alias("rank")
     )
+
+
+# ---- Ranks of single users ----------------------------------------------------
+# Buckets are ranges of scores: 64 to each power of two, so some hundreds for a board, whatever its size.
+
+_BUCKETS = 64
+_LARGEST = 1.7976931348623157e308
+
+
+def score_bucket(score: Column) -> Column:
+    """The number of the bucket of a score; it never falls as the score rises."""
+    # Powers of two from -1,074 to 1,024 give numbers below 100,000 on either side of zero.
+    place = F.floor(F.log2(F.least(F.abs(score), F.lit(_LARGEST))) * _BUCKETS).cast("int")
+    return F.when(score > 0, F.lit(100_000) + place).when(score < 0, -(F.lit(100_000) + place)).otherwise(0)
+
+
+def rank_index(board: DataFrame) -> DataFrame:
+    """(key, bucket, users, above): a histogram of each board's scores, with the users in all higher buckets."""
+    counts = board.groupBy("key", score_bucket(F.col("score")).alias("bucket")).agg(F.count(F.lit(1)).alias("users"))
+    higher = Window.partitionBy("key").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("above", F.coalesce(F.sum("users").over(higher), F.lit(0)))
+
+
+def user_ranks(board: DataFrame, asked: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """(key, user_id, score, rank) of the ``asked`` (key, user_id), as ``rank_all`` has them, without sorting any board.
+
+    A rank is the number of users in higher buckets and, within the user's own bucket, of those ahead. ``index`` is the
+    board's ``rank_index``, if it is stored. Users that a board does not have get no row. The work beside the histogram is that of
+    the buckets asked for, once for each user asked in them: meant for some users, not for all.
+    """
+    wanted = asked.select("key", "user_id").distinct()
+    placed = board.select("key", "user_id", "score", score_bucket(F.col("score")).alias("bucket"))
+    mine = stored(placed.join(_hashed(wanted), ["key", "user_id"], "left_semi"), "asked")
+    names = {"key": "k", "bucket": "b", "user_id": "u", "score": "s"}
+    rivals = placed.join(
+        _hashed(mine.select(*[F.col(name).alias(short) for name, short in names.items()])),
+        (F.col("key") == F.col("k")) & (F.col("bucket") == F.col("b")),
+    ).where((F.col("score") > F.col("s")) | ((F.col("score") == F.col("s")) & (F.col("user_id") > F.col("u"))))
+    ahead = rivals.groupBy(F.col("k").alias("key"), F.col("u").alias("user_id")).agg(F.count(F.lit(1)).alias("ahead"))
+    buckets = (rank_index(board) if index is None else index).select("key", "bucket", "above")
+    found = mine.join(_hashed(ahead), ["key", "user_id"], "left").join(_hashed(buckets), ["key", "bucket"])
+    return found.select("key", "user_id", "score", (F.col("above") + F.coalesce("ahead", F.lit(0)) + 1).alias("rank"))
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    """The side that is held by its keys; Spark broadcasts it where its size is known to be small."""
+    return df.hint("shuffle_hash")

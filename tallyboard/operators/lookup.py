@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,3 +70,38 @@ def attach(
         keyed = F.broadcast(keyed)
     joined = fact.join(keyed, list(keys), "left")
     return joined.select(*fact.columns, *[c for c in keyed.columns if c not in keys])
+
+
+# ---- Id filters ---------------------------------------------------------------
+# A Bloom filter of record ids as a table of bitmaps, so that it may be of any size.
+
+#: Bits that an id sets.
+ID_HASHES = 4
+
+
+def _id_bits(record_id: Column, bits: int) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(F.lower(record_id), F.lit(n)), F.lit(bits)) for n in range(ID_HASHES)])
+
+
+def id_filter(ids: DataFrame, record_id: str, bits: int) -> DataFrame:
+    """(bucket, bitmap) over ``bits`` bits. Filters of several tables are merged by ``merged_filters``."""
+    places = ids.select(F.explode(_id_bits(F.col(record_id), bits)).alias("place"))
+    return places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")
+    )
+
+
+def merged_filters(filters: DataFrame) -> DataFrame:
+    return filters.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def maybe_held(ids: DataFrame, record_id: str, filters: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``ids`` whose id the filter may hold: all that it does, and few others."""
+    probes = ids.select(F.lower(record_id).alias("_probe"), F.explode(_id_bits(F.col(record_id), bits)).alias("place"))
+    at = probes.select(
+        "_probe", F.bitmap_bucket_number("place").alias("bucket"), F.bitmap_bit_position("place").alias("bit")
+    )
+    byte = F.conv(F.hex(F.substring("bitmap", F.expr("cast(bit div 8 as int) + 1"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.getbit(byte.cast("long"), (F.col("bit") % 8).cast("int")), F.lit(0))
+    found = at.join(merged_filters(filters), "bucket", "left").groupBy("_probe").agg(F.min(is_set).alias("held")).where("held = 1")
+    return ids.join(found, F.lower(record_id) == F.col("_probe"), "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions.keys import id_or_derived, valid_id
 from tallyboard.schemas import CATEGORIZED_DATA, USAGE_LOGS, ZERO_ID
-from tallyboard.sources.tables import write_snapshot
 
 NATURAL_KEY = ["app", "url", "title"]
 
@@ -127,8 +127,8 @@ def new_keys(keys: DataFrame, categorized_data: DataFrame) -> DataFrame:
 # Update-only: ids that are not stored change nothing, ids that are not ids are skipped.
 
 
-def latest_per_id(messages: DataFrame, record_id: str, value: str) -> DataFrame:
-    """(record_id, value, seq) with the value that arrived last for each valid id.
+def latest_per_id(messages: DataFrame, record_id: str, value: str, also: Sequence[str] = ()) -> DataFrame:
+    """(record_id, value, seq) with the value that arrived last for each valid id, and ``also`` other columns of that message.
 
     Arrival is the broker's time where messages have it (``arrived``), then ``seq``.
     Ids are bytes written in hexadecimal: upper and lower case are one id.
@@ -136,9 +136,10 @@ def latest_per_id(messages: DataFrame, record_id: str, value: str) -> DataFrame:
     rows = messages.where(valid_id(F.col(record_id)))
     order = [name for name in ("arrived", "seq") if name in messages.columns]
     latest = rows.groupBy(F.lower(record_id).alias("record_id")).agg(
-        F.max(F.struct(*order, F.col(value).alias("value"))).alias("latest")
+        F.max(F.struct(*order, F.col(value).alias("value"), *also)).alias("latest")
     )
-    return latest.select("record_id", F.col("latest.value").alias(value), F.col("latest.seq").alias("seq"))
+    more = [f"latest.{name}" for name in also]
+    return latest.select("record_id", F.col("latest.value").alias(value), F.col("latest.seq").alias("seq"), *more)
 
 
 def set_by_id(table: DataFrame, id_column: str, target: str, updates: DataFrame) -> DataFrame:
@@ -182,22 +183,6 @@ def update_counts(table: DataFrame, id_column: str, target: str, updates: DataFr
     )
 
 
-def rewrite_by_date(spark: SparkSession, path: str, new_path: str, id_column: str, target: str, updates: DataFrame) -> str:
-    """A new version of a table stored by ``session_date``: ``path`` stays as it is for readers that have it open.
-
-    Updates with a ``session_date`` are joined within their dates only, and every other date is copied without a shuffle;
-    updates without one are looked for in the whole table.
-    """
-    stored = spark.read.parquet(path)
-    if "session_date" not in updates.columns:
-        changed = set_by_id(stored, id_column, target, updates)
-    else:
-        dates = F.broadcast(updates.select("session_date").distinct())  # calendar days
-        touched = set_by_id(stored.join(dates, "session_date", "left_semi"), id_column, target, updates)
-        changed = touched.unionByName(stored.join(dates, "session_date", "left_anti"))
-    return write_snapshot(changed.select(*stored.columns), new_path, "session_date")
-
-
 def single_update(spark: SparkSession, record_id: str, target: str, value: str) -> DataFrame:
     """One update as a frame, for the functions above."""
     row = spark.range(1).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,10 @@ from tallyboard.operators.lookup import BroadcastBound
 from tallyboard.operators.sessions import session_scores
 from tallyboard.plans import inputs
 from tallyboard.schemas import DAILY_TOTALS, MESSAGES
-from tallyboard.session import configure, new_run_dir
+from tallyboard.session import configure, new_run_dir, stored
 from tallyboard.sources.messages import normalize
 from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
+from tallyboard.sources.versioned import with_id_part
 from tallyboard.streaming import pipeline as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,6 +291,13 @@ def leaderboard_topk(spark, sf_dir):
     return lb.top_k(lb.leaderboard(_entries(spark, sf_dir)), TOP)
 
 
+@query
+def leaderboard_user_rank(spark, sf_dir):
+    """The ranks of every hundredth user on each of their boards, among all users."""
+    board = stored(lb.leaderboard(_entries(spark, sf_dir)), "board")
+    return lb.user_ranks(board, board.where(F.col("user_id").cast("bigint") % 100 == 0))
+
+
 @query
 def usage_by_period(spark, sf_dir):
     return lb.usage_by_period(_entries(spark, sf_dir))
@@ -379,6 +388,39 @@ def update_counters(spark, sf_dir):
     return rec.update_counts(logs, "usage_log_id", "category_id", updates)
 
 
+@query
+def usage_log_publish(spark, sf_dir):
+    """The same, written back: two versions of the stored table, the second with the categories; its batch runs twice."""
+    logs = pl.usage_log_table(new_run_dir(spark, "logs"))
+    logs.publish(spark, 0, appended=inputs.usage_logs(spark, sf_dir))
+    with_id = cl.attach_category_id(_classified(spark, sf_dir), inputs.category_patterns(spark))
+    updates = rec.latest_per_id(with_id, "usage_log_id", "category_id", ["session_date"])
+    for _ in range(2):
+        logs.publish(spark, 1, updates=updates, target="category_id")
+    return logs.read(spark)
+
+
+@query
+def usage_log_append(spark, sf_dir):
+    """Three appends that overlap, the last one tried again as another batch: every log is stored once."""
+    logs = pl.usage_log_table(new_run_dir(spark, "logs"))
+    messages = inputs.messages(spark, sf_dir)
+    shares = ["seq % 3 <> 0", "seq % 2 = 0", "true", "true"]
+    for version, share in enumerate(shares):
+        logs.publish(spark, version, appended=rec.usage_log_insert(rec.new_usage_logs(messages.where(share))))
+    return logs.read(spark)
+
+
+@query
+def categorized_publish(spark, sf_dir):
+    """Stored keys by a hash of their id, with the categories written back."""
+    keys_ = pl.categorized_table(new_run_dir(spark, "keys"))
+    keys_.publish(spark, 0, appended=with_id_part(inputs.categorized_data(spark, sf_dir), "categorized_data_id"))
+    with_id = cl.attach_category_id(_classified(spark, sf_dir), inputs.category_patterns(spark))
+    pl.publish_categorized(keys_, 1, with_id)
+    return keys_.read(spark).drop("part")
+
+
 @query
 def usage_log_set_category_upper(spark, sf_dir):
     """Stored ids in capitals get the updates of the same ids in small letters."""
@@ -422,6 +464,24 @@ def stream_after_fold(spark, sf_dir):
     return pl.current_leaderboard(spark, sinks)
 
 
+@query
+def leaderboard_closed_days(spark, sf_dir):
+    """Four batches; days are closed after the second and the third, and messages for closed days come later."""
+    sinks = pl.Sinks(new_run_dir(spark, "closed"))
+    job = pl.UsageJob(
+        sinks,
+        load_patterns=lambda: inputs.category_patterns(spark),
+        load_labels=lambda: inputs.learned_labels(spark, sf_dir),
+        fold_every=2,
+    )
+    raw = inputs.raw_messages(spark, sf_dir)
+    for batch_id in range(4):
+        job.process(raw.where(F.col("seq") % 4 == batch_id), batch_id)
+        if batch_id in (1, 2):
+            pl.close_days(spark, sinks, dt.date(2024, 1, 8 * batch_id))
+    return pl.current_leaderboard(spark, sinks)
+
+
 @query
 def stream_drop_repeats(spark, sf_dir):
     """Two batches in which three messages share an id; those without a valid one all count."""

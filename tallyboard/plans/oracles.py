@@ -262,6 +262,13 @@ positions AS (
                     AND d.pattern = a.pattern))"""
 
 
+_KEYS_UPDATED = """SELECT s.categorized_data_id, s.app, s.url, s.title, coalesce(w.category_id, s.category_id) AS category_id,
+       s.is_llm_based
+FROM stored s LEFT JOIN (
+  SELECT categorized_data_id, arg_max(category_id, seq) AS category_id FROM with_id GROUP BY categorized_data_id) w
+ON w.categorized_data_id = s.categorized_data_id"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "normalize_messages": _sql(NORMALIZED, _NORMALIZED_COLUMNS),
@@ -419,11 +426,7 @@ FROM messages GROUP BY categorized_data_id""",
         "usage_log_set_category": _sql(f"{CLASSIFIED},{WITH_ID},{LOGS}", _LOGS_UPDATED),
         "categorized_set_category": _sql(
             f"{CLASSIFIED},{WITH_ID},{CATEGORIZED}",
-            """SELECT s.categorized_data_id, s.app, s.url, s.title, coalesce(w.category_id, s.category_id) AS category_id,
-       s.is_llm_based
-FROM stored s LEFT JOIN (
-  SELECT categorized_data_id, arg_max(category_id, seq) AS category_id FROM with_id GROUP BY categorized_data_id) w
-ON w.categorized_data_id = s.categorized_data_id""",
+            _KEYS_UPDATED,
         ),
         "usage_log_set_categorized": _sql(
             f"{MESSAGES},{LOGS}",
@@ -452,6 +455,15 @@ FROM with_id w LEFT JOIN logs g ON g.usage_log_id = w.usage_log_id WHERE w.usage
        CAST(row_number() OVER (PARTITION BY category_id, kind ORDER BY place) - 1 AS INTEGER) AS pos
 FROM positions WHERE category_id IN (SELECT category_id FROM patterns)""",
         ),
+        "leaderboard_user_rank": _sql(
+            f"{CLASSIFIED},{BOARD}", f"SELECT * FROM ({_RANKED}) WHERE CAST(user_id AS BIGINT) % 100 = 0"
+        ),
+        "usage_log_publish": _sql(f"{CLASSIFIED},{WITH_ID},{LOGS}", _LOGS_UPDATED),
+        "usage_log_append": _sql(
+            MESSAGES, f"SELECT substring(sha256({_LOG_KEY}), 1, 24) AS usage_log_id, {_LOG_COLUMNS} FROM messages"
+        ),
+        "categorized_publish": _sql(f"{CLASSIFIED},{WITH_ID},{CATEGORIZED}", _KEYS_UPDATED),
+        "leaderboard_closed_days": _sql(f"{CLASSIFIED_STREAM},{BOARD}", _LEADERBOARD_COLUMNS),
         "stream_after_fold": _sql(f"{CLASSIFIED_STREAM},{BOARD}", _LEADERBOARD_COLUMNS),
         "stream_drop_repeats": _sql(f"{_FIRST_SEEN},{_cascade('once')},{BOARD}", _LEADERBOARD_COLUMNS),
         "stream_end_to_end": _sql(f"{CLASSIFIED_STREAM},{BOARD}", _LEADERBOARD_COLUMNS),

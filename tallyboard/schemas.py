@@ -119,6 +119,8 @@ CATEGORIZED_DATA = _struct(
     categorized_data_id=_S, app=_S, url=_S, title=_S, category_id=_S, is_llm_based=T.BooleanType()
 )
 
+CATEGORIZED_PARTED = T.StructType([*CATEGORIZED_DATA.fields, T.StructField("part", T.IntegerType())])
+
 USAGE_LOGS = _struct(
     usage_log_id=_S,
     user_id=_S,
@@ -147,4 +149,6 @@ SEEN_IDS = _struct(record_id=_S)
 
 UPDATE_COUNTS = _struct(updates=_L, matched=_L, modified=_L, no_op=_L)
 
-FOLDS = _struct(path=_S)
+FOLDS = _struct(segment=_S)
+
+MANIFEST = _struct(kind=_S, part=_S, folder=_S)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Calendar arithmetic is written for UTC instants.
@@ -18,6 +21,7 @@ SETTINGS = {
 # Folders made for sessions that name none, by application; scratch folders in use, likewise.
 _own_folders: dict[str, str] = {}
 _run_dirs: dict[str, list[str]] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -54,12 +58,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses; ``remove_run_dirs`` deletes it."""
+    """A path under the shared folder that no other run uses.
+
+    The end of the enclosing ``scratch_scope`` deletes it; without one, ``remove_run_dirs`` does.
+    """
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _run_dirs.setdefault(spark.sparkContext.applicationId, []).append(path)
+    scope = _scope.get()
+    (_run_dirs.setdefault(spark.sparkContext.applicationId, []) if scope is None else scope).append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders made inside are deleted at the end, also after an error; no frame that reads them may be used later."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            remove_path(spark, path)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` in the shared folder, so that it is computed once whatever reads it."""
+    path = new_run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_run_dirs(spark: SparkSession) -> int:
     """Delete this application's scratch folders, once no frame that reads them is needed. Returns their number."""
     paths = _run_dirs.pop(spark.sparkContext.applicationId, [])

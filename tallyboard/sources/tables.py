@@ -20,8 +20,12 @@ def read_patterns(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CATEGORY_PATTERNS).parquet(path)
 
 
-def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+def write_batch(df: DataFrame, root: str, batch_id: int, partition_by: str | None = None) -> None:
+    """Replace the rows of a batch; ``partition_by`` puts them in folders by that column."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by)
+    writer.parquet(f"{root}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -35,12 +39,15 @@ def read_batches(spark: SparkSession, root: str, schema: T.StructType) -> DataFr
         return spark.createDataFrame([], full)
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Write ``df`` to a path that must not exist yet."""
+def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None) -> str:
+    """Write ``df`` to a path that must not exist yet; ``sort_by`` orders the rows of a partition value over its files."""
     if partition_by is None:
         df.write.mode("errorifexists").parquet(path)
-    else:
-        # One partition value may be most of the table: rebalance splits it by size.
+        return path
+    # One partition value may be most of the table: both ways split it.
+    if sort_by is None:
         balanced = df.hint("rebalance", F.col(partition_by))
-        balanced.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
+    else:
+        balanced = df.repartitionByRange(partition_by, sort_by).sortWithinPartitions(partition_by, sort_by)
+    balanced.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
     return path

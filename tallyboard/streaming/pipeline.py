@@ -6,16 +6,19 @@ such batches only. Older batches are folded into one snapshot per table.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyboard.functions.keys import valid_id
+from tallyboard.functions.periods import period_days
 from tallyboard.operators.classify import attach_category_id, classify, label_keys, unresolved_keys
 from tallyboard.operators.leaderboard import (
     daily_totals,
@@ -24,10 +27,11 @@ from tallyboard.operators.leaderboard import (
     merge_deltas,
     merged_days,
 )
-from tallyboard.operators.records import latest_per_id, set_by_id, update_counts
+from tallyboard.operators.records import latest_per_id, new_usage_logs, set_by_id, update_counts, usage_log_insert
 from tallyboard.operators.sessions import session_scores, write_session_events
 from tallyboard.schemas import (
     BATCH_METRICS,
+    CATEGORIZED_PARTED,
     CATEGORY_UPDATES,
     DAILY_TOTALS,
     FOLDS,
@@ -35,10 +39,15 @@ from tallyboard.schemas import (
     SEEN_IDS,
     SESSION_SCORES,
     UPDATE_COUNTS,
+    USAGE_LOGS,
 )
-from tallyboard.session import configure, remove_path
+from tallyboard.session import configure, remove_path, scratch_scope, stored
 from tallyboard.sources.messages import normalize, without_repeats
 from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
+from tallyboard.sources.versioned import Published, VersionedTable, with_id_part
+
+#: Tables that lie in folders by a column, so that a reader of some days opens no others.
+PARTED = {"leaderboard_deltas": "day"}
 
 #: The tables of a job and their schemas; the metrics come last.
 TABLES = {
@@ -74,6 +83,11 @@ class Sinks:
     def checkpoint(self) -> str:
         return self.table("checkpoint")
 
+    @property
+    def closed_days(self) -> VersionedTable:
+        """Final sums of days, by day."""
+        return VersionedTable(self.table("closed_days"), DAILY_TOTALS, "user_id", "day", sort="user_id")
+
 
 @dataclass(frozen=True)
 class UsageJob:
@@ -84,6 +98,10 @@ class UsageJob:
     usage-log id an earlier message has. With ``load_usage_logs`` each batch also counts what its
     updates change there. ``fold_every`` batches, the ones before are folded.
     ``session_servers`` names brokers that get the session records too.
+
+    ``usage_logs`` and ``categorized`` are stored tables that the job keeps: every batch publishes a version of each with its
+    categories, and counts what they change there. With ``append_logs`` a message without a usage-log id gets a row in
+    ``usage_logs``, and a key that is new a row in ``categorized``.
     """
 
     sinks: Sinks
@@ -93,6 +111,9 @@ class UsageJob:
     drop_repeats: bool = False
     fold_every: int | None = None
     session_servers: str | None = None
+    usage_logs: VersionedTable | None = None
+    categorized: VersionedTable | None = None
+    append_logs: bool = False
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
         """Classify one batch and write every table.
@@ -103,9 +124,16 @@ class UsageJob:
         self.process_messages(normalize(raw), batch_id)
 
     def process_messages(self, messages: DataFrame, batch_id: int) -> None:
-        spark, sinks = messages.sparkSession, self.sinks
+        spark = messages.sparkSession
         # A batch that runs again does not count until it is whole again.
-        remove_path(spark, f"{sinks.metrics}/batch_id={batch_id}")
+        remove_path(spark, f"{self.sinks.metrics}/batch_id={batch_id}")
+        with scratch_scope(spark):  # all that the batch needs is written by its end
+            self._write_tables(messages, batch_id)
+        if self.fold_every and batch_id and batch_id % self.fold_every == 0:
+            fold(spark, self.sinks, batch_id - 1)  # batches before this one never run again
+
+    def _write_tables(self, messages: DataFrame, batch_id: int) -> None:
+        spark, sinks = messages.sparkSession, self.sinks
         patterns = self.load_patterns()
         labels = self.load_labels() if self.load_labels else None
         if self.drop_repeats:
@@ -116,11 +144,11 @@ class UsageJob:
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
 
         def write(df: DataFrame, name: str) -> None:
-            write_batch(df, sinks.table(name), batch_id)
+            write_batch(df, sinks.table(name), batch_id, PARTED.get(name))
 
         try:
-            updates = latest_per_id(classified, "usage_log_id", "category_id")
-            write(updates, "usage_log_updates")
+            updates = latest_per_id(classified, "usage_log_id", "category_id", ["session_date"])
+            write(updates.drop("session_date"), "usage_log_updates")
             write(latest_per_id(classified, "categorized_data_id", "category_id"), "categorized_updates")
             write(daily_totals(leaderboard_entries(classified)), "leaderboard_deltas")
             write(session_scores(classified), "session_scores")
@@ -128,16 +156,21 @@ class UsageJob:
             if self.drop_repeats:
                 ids = classified.where(valid_id(F.col("usage_log_id")))
                 write(ids.select(F.lower("usage_log_id").alias("record_id")).distinct(), "seen_ids")
+            counts = None
+            if self.usage_logs:
+                counts = publish_usage_logs(self.usage_logs, batch_id, classified, updates, self.append_logs)
+            if self.categorized:
+                publish_categorized(self.categorized, batch_id, classified, self.append_logs)
             if self.load_usage_logs:
-                counts = update_counts(self.load_usage_logs(), "usage_log_id", "category_id", updates)
-                write(counts, "update_counts")
+                write(update_counts(self.load_usage_logs(), "usage_log_id", "category_id", updates), "update_counts")
+            elif counts:
+                row = [(counts.updates, counts.matched, counts.modified, counts.no_op)]
+                write(spark.createDataFrame(row, UPDATE_COUNTS), "update_counts")
             if self.session_servers:
                 write_session_events(session_scores(classified), self.session_servers)
             write(batch_metrics(classified), "metrics")
         finally:
             classified.unpersist()
-        if self.fold_every and batch_id and batch_id % self.fold_every == 0:
-            fold(spark, sinks, batch_id - 1)  # batches before this one never run again
 
     def start(
         self, raw_stream: DataFrame, interval: str | None = "2 seconds", normalized: bool = False
@@ -158,6 +191,39 @@ class UsageJob:
         self.start(raw_stream, interval=None, normalized=normalized).awaitTermination()
 
 
+def usage_log_table(root: str) -> VersionedTable:
+    """Stored usage logs by session date."""
+    return VersionedTable(root, USAGE_LOGS, "usage_log_id")
+
+
+def categorized_table(root: str) -> VersionedTable:
+    """Stored natural keys by a hash of their id."""
+    return VersionedTable(root, CATEGORIZED_PARTED, "categorized_data_id", "part")
+
+
+def publish_usage_logs(
+    table: VersionedTable, version: int, classified: DataFrame, updates: DataFrame, append: bool = False
+) -> Published | None:
+    """A version of the stored logs with the categories of ``updates``; with ``append`` also a row for each message without an id."""
+    spark = classified.sparkSession
+    unnamed = classified.where(~valid_id(F.coalesce("usage_log_id", F.lit(""))))
+    new = usage_log_insert(new_usage_logs(unnamed)) if append else None
+    return table.publish(spark, version, new, updates, "category_id")
+
+
+def publish_categorized(table: VersionedTable, version: int, classified: DataFrame, append: bool = False) -> Published | None:
+    """A version of the stored keys with the batch's categories; with ``append`` also a row for each id that is new."""
+    spark = classified.sparkSession
+    updates = with_id_part(latest_per_id(classified, "categorized_data_id", "category_id"), "record_id")
+    new = None
+    if append:
+        rows = classified.where(valid_id(F.col("categorized_data_id"))).select(
+            "categorized_data_id", "app", "url", "title", "category_id", F.col("is_llm").alias("is_llm_based")
+        )
+        new = with_id_part(rows.distinct(), "categorized_data_id")
+    return table.publish(spark, version, new, updates, "category_id")
+
+
 def batch_metrics(classified: DataFrame) -> DataFrame:
     """Messages per classification method, with the counts that explain missing output."""
 
@@ -172,21 +238,37 @@ def batch_metrics(classified: DataFrame) -> DataFrame:
 # ---- Reading the tables back ------------------------------------------------
 
 
-def last_fold(spark: SparkSession, sinks: Sinks) -> tuple[int, str | None]:
-    """The last batch of the latest fold, and its folder."""
-    found = read_batches(spark, sinks.folds, FOLDS).orderBy(F.desc("batch_id")).first()
-    return (found.batch_id, found.path) if found else (-1, None)
+def folds(spark: SparkSession, sinks: Sinks) -> list:
+    """(batch_id, segment), a row per fold: the last batch it holds, and the name of its folders."""
+    return read_batches(spark, sinks.folds, FOLDS).orderBy("batch_id").collect()
+
+
+def _segment(sinks: Sinks, name: str, segment: str) -> str:
+    return f"{sinks.root}/folded/{name}/segment={segment}"
+
+
+def _segments(spark: SparkSession, sinks: Sinks, name: str, listed: list) -> DataFrame:
+    kept = T.StructType([*TABLES[name].fields, T.StructField("batch_id", T.LongType())])
+    if not listed:
+        return spark.createDataFrame([], kept)
+    full = T.StructType([*kept.fields, T.StructField("segment", T.StringType())])
+    paths = [_segment(sinks, name, row.segment) for row in listed]
+    found = spark.read.schema(full).option("basePath", f"{sinks.root}/folded/{name}").parquet(*paths)
+    return found.select(*kept.fieldNames())
+
+
+def _unfolded(spark: SparkSession, sinks: Sinks, name: str, after: int) -> DataFrame:
+    """Rows of the finished batches after ``after``."""
+    written = read_batches(spark, sinks.table(name), TABLES[name]).where(F.col("batch_id") > after)
+    finished = read_batches(spark, sinks.metrics, BATCH_METRICS).where(F.col("batch_id") > after)
+    return written.join(finished.select("batch_id").distinct(), "batch_id", "left_semi")
 
 
 def batches(spark: SparkSession, sinks: Sinks, name: str) -> DataFrame:
     """A table's rows of all finished batches, with their ``batch_id``; what is folded has that of the fold."""
-    upto, folder = last_fold(spark, sinks)
-    written = read_batches(spark, sinks.table(name), TABLES[name]).where(F.col("batch_id") > upto)
-    finished = read_batches(spark, sinks.metrics, BATCH_METRICS).where(F.col("batch_id") > upto)
-    rows = written.join(finished.select("batch_id").distinct(), "batch_id", "left_semi")
-    if folder:
-        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{folder}/{name}"))
-    return rows
+    listed = folds(spark, sinks)
+    rows = _unfolded(spark, sinks, name, listed[-1].batch_id if listed else -1)
+    return rows.unionByName(_segments(spark, sinks, name, listed)) if listed else rows
 
 
 def _last_updates(rows: DataFrame) -> DataFrame:
@@ -194,49 +276,118 @@ def _last_updates(rows: DataFrame) -> DataFrame:
     return last.select("record_id", "last.category_id", "last.seq")
 
 
-def fold(spark: SparkSession, sinks: Sinks, upto: int) -> str:
-    """One snapshot per table of all finished batches up to ``upto``; returns its folder.
+def fold(spark: SparkSession, sinks: Sinks, upto: int) -> str | None:
+    """One segment per table of the finished batches up to ``upto`` that no fold holds yet; returns its name.
 
-    The fold counts once it is listed, which is the last thing written. Batches and snapshots of the fold
-    before are then removed: a reader that began before this fold still finds its own files.
+    The work is that of those batches, whatever came before. A fold counts once it is listed, which is the last thing
+    written; one that is listed already is not made again (None). Batches of the fold before are then
+    removed: a reader that began before this fold still finds its own files.
     """
-    before, _ = last_fold(spark, sinks)
-    folder = f"{sinks.root}/folded/{upto}-{uuid.uuid4().hex}"
+    listed = folds(spark, sinks)
+    after = listed[-1].batch_id if listed else -1
+    if upto <= after:
+        return None
+    segment = f"{upto}-{uuid.uuid4().hex}"
     for name in TABLES:
-        rows = batches(spark, sinks, name).where(F.col("batch_id") <= upto)
+        rows = _unfolded(spark, sinks, name, after).where(F.col("batch_id") <= upto)
         if name.endswith("_updates"):
             rows = _last_updates(rows)
         elif name == "leaderboard_deltas":
-            rows = merged_days(rows)
+            rows = merged_days(rows.where(_open(*closed_upto(spark, sinks))))
         elif name in ("to_label", "seen_ids"):
             rows = rows.drop("batch_id").distinct()
         if "batch_id" not in rows.columns:
             rows = rows.withColumn("batch_id", F.lit(upto).cast("bigint"))
-        write_snapshot(rows, f"{folder}/{name}")
-    listed = spark.range(1).select(F.lit(folder).alias("path"))
-    write_batch(listed, sinks.folds, upto)
-    _retire(spark, sinks, before, upto)
-    return folder
-
-
-def _retire(spark: SparkSession, sinks: Sinks, before: int, upto: int) -> None:
-    """Remove the batches up to ``before`` and the folds older than it."""
-    old = read_batches(spark, sinks.folds, FOLDS).where(F.col("batch_id") < before).collect()  # one or two rows
-    for row in old:
-        remove_path(spark, row.path)
-        remove_path(spark, f"{sinks.folds}/batch_id={row.batch_id}")
-    if before < 0:
-        return
-    done = read_batches(spark, sinks.metrics, BATCH_METRICS).where(F.col("batch_id") <= before)
-    # As many as lie between two folds.
+        write_snapshot(rows, _segment(sinks, name, segment), PARTED.get(name))
+    write_batch(spark.range(1).select(F.lit(segment).alias("segment")), sinks.folds, upto)
+    _retire(spark, sinks, after)
+    return segment
+
+
+def _retire(spark: SparkSession, sinks: Sinks, upto: int) -> None:
+    """Remove the batches up to ``upto``, which an earlier fold holds; as many as lie between two folds."""
+    done = read_batches(spark, sinks.metrics, BATCH_METRICS).where(F.col("batch_id") <= upto)
     for row in done.select("batch_id").distinct().collect():
         for name in TABLES:
             remove_path(spark, f"{sinks.table(name)}/batch_id={row.batch_id}")
 
 
+# ---- Closed days ----------------------------------------------------------------
+
+
+def closed_upto(spark: SparkSession, sinks: Sinks) -> tuple[int, dt.date | None]:
+    """(last batch, first open day): what the closed days hold is the days before that, of batches up to that."""
+    table = sinks.closed_days
+    notes = {row.kind: row.part for row in table.manifest(spark, table.version(spark))}
+    return (int(notes["upto"]), dt.date.fromisoformat(notes["before"])) if "upto" in notes else (-1, None)
+
+
+def _open(upto: int, before: dt.date | None) -> Column:
+    """Deltas that the closed days do not hold; both columns are names of folders, so no other file is opened."""
+    return F.lit(True) if before is None else (F.col("batch_id") > upto) | (F.col("day") >= F.lit(before))
+
+
+def open_deltas(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    """The leaderboard deltas of open days, and late ones of closed days, with their ``batch_id``."""
+    listed = folds(spark, sinks)
+    rows = _unfolded(spark, sinks, "leaderboard_deltas", listed[-1].batch_id if listed else -1)
+    upto, before = closed_upto(spark, sinks)  # after the deltas: days closed meanwhile are not missed
+    early = [row for row in listed if row.batch_id <= upto]
+    rows = rows.where(_open(upto, before))
+    if early:
+        rows = rows.unionByName(_segments(spark, sinks, "leaderboard_deltas", early).where(F.col("day") >= F.lit(before)))
+    late = [row for row in listed if row.batch_id > upto]
+    return rows.unionByName(_segments(spark, sinks, "leaderboard_deltas", late)) if late else rows
+
+
+def close_days(spark: SparkSession, sinks: Sinks, before: dt.date) -> int | None:
+    """Store the final sums of the days before ``before``; returns the number of days written, None if there was nothing to do.
+
+    Runs beside the stream. A day is written when it is closed, and once more if messages for it came later; a day's
+    rows are in order of users. Days once closed stay closed.
+    """
+    with scratch_scope(spark):
+        upto, open_from = closed_upto(spark, sinks)
+        before = max(before, open_from or before)
+        new = open_deltas(spark, sinks).where(F.col("day") < F.lit(before))
+        finished = batches(spark, sinks, "metrics").agg(F.max("batch_id")).first()[0]
+        if finished is None or (finished <= upto and before == open_from):
+            return None
+        new = stored(new.where(F.col("batch_id") <= finished), "closing")
+        days = {str(row.day) for row in new.select("day").distinct().collect()}
+        table = sinks.closed_days
+        kept = table.read(spark, table.version(spark), days)
+        names = DAILY_TOTALS.fieldNames()
+        sums = merged_days(kept.select(*names).unionByName(new.select(*names))).select(*names)
+        table.replace_parts(spark, (table.version(spark) or 0) + 1, sums, {"upto": str(finished), "before": str(before)})
+    return len(days)
+
+
+def daily_sums(spark: SparkSession, sinks: Sinks, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Sums per (user, category, day), or parts of such sums, over all finished batches; ``first`` and ``last`` name the days wanted."""
+    deltas = open_deltas(spark, sinks)
+    table = sinks.closed_days
+    version = table.version(spark)
+    held = {row.part for row in table.manifest(spark, version) if row.kind == "data"}
+    wanted = {d for d in held if (first is None or d >= str(first)) and (last is None or d <= str(last))}
+    if first is not None:
+        deltas = deltas.where(F.col("day") >= F.lit(first))
+    if last is not None:
+        deltas = deltas.where(F.col("day") <= F.lit(last))
+    names = DAILY_TOTALS.fieldNames()
+    return deltas.select(*names).unionByName(table.read(spark, version, wanted).select(*names))
+
+
+def current_board(spark: SparkSession, sinks: Sinks, period_kind: str, period: str) -> DataFrame:
+    """The boards of one period alone (as ``day`` ``2024-01-05``, ``week`` ``2024-W1`` or ``month`` ``2024-M1``); no other day is read."""
+    first, last = period_days(period_kind, period)
+    boards = merge_deltas(daily_sums(spark, sinks, first, last))
+    return boards.where((F.col("period_kind") == period_kind) & (F.col("period") == period))
+
+
 def current_leaderboard(spark: SparkSession, sinks: Sinks) -> DataFrame:
     """The leaderboard as of the last finished batch."""
-    return merge_deltas(batches(spark, sinks, "leaderboard_deltas"))
+    return merge_deltas(daily_sums(spark, sinks))
 
 
 def current_updates(spark: SparkSession, sinks: Sinks, name: str = "usage_log_updates") -> DataFrame:
