@@ -2,108 +2,216 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyboard.llm.common import slices, stored
 
-#: Words whose ids a worker remembers in each of two generations, the longest that it does, and how many it encodes at once.
+#: Words whose ids a worker remembers in each of two generations, and the longest that it does.
 KNOWN_WORDS = 250_000
 KNOWN_BYTES = 48
-ENCODED_AT_ONCE = 200
 
 #: Marks that may follow a word; a run of them is one piece of its own to the tokenizer.
 MARKS = b".,;:!?*&%$#)\"-"
 
 END_ID = 2
 
+# What a tokenizer file says of texts that may be cut at white space and after words.
+WORD_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+WORD_PIECES = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
 
-class ChunkEncoder:
-    """Ids of texts in UTF-8, chunk by chunk between ASCII white space.
+# Letters up to here are letters to every version of Unicode, and lower case is one letter again, but for this one.
+LAST_LETTER, DOTTED_I = "\u024f", "\u0130"
 
-    For tokenizers that lower the case, drop white space and never look beyond a run of letters or of
-    marks, such as BPE with word ends; the ids are those of the whole text. A chunk is a word and the
-    marks after it; each word is encoded once as long as it is remembered.
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write a printable byte as itself and the others, in order, as the letters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: 256 + n for n, byte in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+class Encoder:
+    """Ids of whole texts, as the library gives them.
+
+    A file that lower-cases, collapses white space and then cuts at words, digits and runs of marks (``cuts_at_white_space``)
+    lets texts be split at ASCII white space first: each different word of a batch is then encoded once, and
+    not again as long as it is remembered. With any other file, whole texts go to the library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            self.by_word = cuts_at_white_space(json.load(file))
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[bytes, bytes] = {}  # ids as 32-bit numbers, one after another
         self.old: dict[bytes, bytes] = {}
 
-    def encode(self, bodies: list[bytes]) -> list[np.ndarray]:
-        cut = [body.split() for body in bodies]
-        chunks = set(chain.from_iterable(cut))
-        parts = {chunk: _word_and_marks(chunk) for chunk in chunks}
-        words = self._words({piece for pair in parts.values() for piece in pair if piece})
-        ids = {chunk: words[word] + words[marks] if marks else words[word] for chunk, (word, marks) in parts.items()}
-        return [np.frombuffer(b"".join(map(ids.__getitem__, row)), np.int32) for row in cut]
-
-    def _words(self, wanted: set[bytes]) -> dict[bytes, bytes]:
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids): the ids of all texts, ``end_id`` after each, and where each text's begin. A null text is empty."""
+        texts = texts.cast(pa.string()).fill_null("")
+        if not self.by_word:
+            rows = [np.array([*self._whole(text), end_id], np.int32) for text in texts.to_pylist()]
+            return _offsets([len(row) for row in rows]), np.concatenate(rows) if rows else np.empty(0, np.int32)
+        pieces, ends, ids = self._pieces(texts)
+        # The end of a text is one more piece.
+        pieces = np.insert(pieces, ends[1:], len(ids))
+        ids.append(np.int32(end_id).tobytes())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, starts = np.frombuffer(b"".join(ids), np.int32), np.cumsum(sizes) - sizes
+        taken = sizes[pieces]
+        before = np.concatenate(([0], np.cumsum(taken)))
+        places = np.repeat(starts[pieces] - before[:-1], taken)
+        places += np.arange(before[-1])
+        return before[ends + np.arange(len(ends))], pool[places]
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        texts = texts.cast(pa.string()).fill_null("")
+        if not self.by_word:
+            return np.array([len(self._whole(text)) for text in texts.to_pylist()], np.int64)
+        pieces, ends, ids = self._pieces(texts)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        return np.diff(np.concatenate(([0], np.cumsum(sizes[pieces])))[ends])
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """(number of each piece, where texts begin and end among the pieces, ids of each different piece).
+
+        A chunk between white space is two pieces: a word in lower case, and the marks after it, if there are any.
+        """
+        lists = pc.ascii_split_whitespace(texts)
+        chunks = lists.values.dictionary_encode()
+        words, marks = _words_and_marks(chunks.dictionary)
+        places = chunks.indices.to_numpy()
+        pieces = np.empty((len(places), 2), np.int64)
+        pieces[:, 0] = words.indices.to_numpy()[places]
+        kinds, kind = np.unique(marks, return_inverse=True)
+        pieces[:, 1] = len(words.dictionary) + kind[places]
+        some = words.dictionary.cast(pa.binary()).to_pylist()
+        some += [number.to_bytes(8, "little").rstrip(b"\0") for number in kinds.tolist()]
+        return pieces.ravel(), 2 * lists.offsets.to_numpy().astype(np.int64), self._known(some)
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
         if len(self.young) > KNOWN_WORDS:
             self.old, self.young = self.young, {}
-        found, new = {}, []
-        for word in wanted:
-            ids = self.young.get(word)
-            if ids is None and (ids := self.old.get(word)) is not None:
-                self.young[word] = ids
-            if ids is None:
-                new.append(word)
-            else:
-                found[word] = ids
-        texts = [word.decode() for word in new]
-        plain = [k for k, text in enumerate(texts) if text.isalpha()]
-        for at in range(0, len(plain), ENCODED_AT_ONCE):
-            some = plain[at : at + ENCODED_AT_ONCE]
-            for k, ids in zip(some, self._runs([texts[k] for k in some]), strict=True):
-                found[new[k]] = ids
-        for word, text in zip(new, texts, strict=True):
-            if word not in found:
-                found[word] = self._whole(text)
-            if len(word) <= KNOWN_BYTES:
-                self.young[word] = found[word]
-        return found
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32).tobytes()
-
-    def _runs(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, all of letters: encoded in one go, if each proves to be one piece to the tokenizer."""
-        done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        owner, ids = np.array(done.word_ids), np.array(done.ids, np.int32).tobytes()
-        starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))).tolist()
-        if len(starts) != len(texts):
-            return [self._whole(text) for text in texts]
-        return [ids[4 * a : 4 * b] for a, b in zip(starts, [*starts[1:], len(owner)], strict=True)]
-
-
-def _word_and_marks(chunk: bytes) -> tuple[bytes, bytes]:
-    """A chunk in lower case as a word and the marks after it; in one piece where cutting could change its ids."""
-    if b"<|" in chunk:  # may be a special token
-        return chunk, b""
-    word = chunk.rstrip(MARKS)
-    if not word or len(word) == len(chunk) or not word.decode()[-1].isalpha():
-        return chunk.lower(), b""
-    return word.lower(), chunk[len(word) :]
-
-
-_encoders: dict[str, ChunkEncoder] = {}
-
-
-def encoder_of(path: str) -> ChunkEncoder:
+        young = self.young
+        return [young[word] if word in young else self._remembered(word) for word in words]
+
+    def _remembered(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            text = word.decode()
+            numbers = self._letters(text) if _plain(text) else self._whole(text)
+            ids = array("i", numbers).tobytes()
+        if len(word) <= KNOWN_BYTES:
+            self.young[word] = ids
+        return ids
+
+    def _letters(self, text: str) -> list[int]:
+        """A word of plain letters is one piece to the library too, so the model alone is asked."""
+        piece = text.lower()
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [token.id for token in self.tokenizer.model.tokenize(piece)]
+
+
+def cuts_at_white_space(file: dict) -> bool:
+    """Whether a tokenizer file is of the kind that ``Encoder`` may give words to: normal form, pieces and model as stated."""
+    steps = (file.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+    model = file.get("model") or {}
+    split, bytes_ = steps[0], steps[-1]
+    return (
+        file.get("normalizer") == WORD_NORMALIZER
+        and len(steps) == 2
+        and (split.get("type"), split.get("pattern"), split.get("behavior"), split.get("invert")) == ("Split", WORD_PIECES, "Removed", True)
+        and (bytes_.get("type"), bytes_.get("add_prefix_space"), bytes_.get("use_regex")) == ("ByteLevel", False, False)
+        and (model.get("type"), model.get("dropout")) == ("BPE", None)
+        and not file.get("truncation")
+        and not file.get("padding")
+        and all(
+            token["content"].startswith("<|") and not re.search(r"\s", token["content"])
+            and not (token["lstrip"] or token["rstrip"] or token["normalized"])
+            for token in file.get("added_tokens") or ()
+        )
+    )
+
+
+def _plain(text: str) -> bool:
+    return text.isalpha() and max(text) <= LAST_LETTER and DOTTED_I not in text
+
+
+# Which characters may stand last in a word that is cut from its marks, by code point.
+_CUTS = np.array([_plain(chr(point)) or (point < 128 and chr(point).isdigit()) for point in range(ord(LAST_LETTER) + 1)])
+
+
+def _words_and_marks(chunks: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Of each chunk its word in lower case, and the (at most seven) marks after it as the bytes of a number.
+
+    Where cutting could change the ids, the word is the whole chunk: what stands before the marks must be a letter whose lower case
+    is a letter, or a digit. A chunk that may hold a special token, whose case matters, stays as it is.
+    """
+    words = pc.ascii_rtrim(chunks, characters=MARKS.decode())
+    special = pc.match_substring(chunks, "<|")
+    ends = _string_ends(chunks)
+    data = np.frombuffer(chunks.buffers()[2] or b"\0", np.uint8)
+    sizes, left = (pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (chunks, words))
+    run = sizes - left
+    may = (left > 0) & (run > 0) & (run < 8) & ~special.to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(may)
+    last = ends[at] - run[at] - 1
+    low, high = data[last].astype(np.int64), data[np.maximum(last - 1, 0)].astype(np.int64)
+    point = np.where(low < 128, low, np.where((high >= 0xC2) & (high <= 0xC9), (high & 0x1F) << 6 | low & 0x3F, 0))
+    cut = np.zeros(len(chunks), bool)
+    cut[at] = _CUTS[point]
+    marks = np.zeros(len(chunks), np.int64)
+    for place in range(7):
+        here = np.flatnonzero(cut & (run > place))
+        marks[here] |= data[ends[here] - run[here] + place].astype(np.int64) << 8 * place
+    lowered = pc.ascii_lower(pc.if_else(pa.array(cut), words, chunks))
+    return pc.if_else(special, chunks, lowered).dictionary_encode(), marks
+
+
+def _string_ends(strings: pa.Array) -> np.ndarray:
+    first = strings.offset
+    return np.frombuffer(strings.buffers()[1], np.int32)[first + 1 : first + 1 + len(strings)].astype(np.int64)
+
+
+def _offsets(sizes: Sequence[int]) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
     """The worker's own encoder, which remembers words from task to task."""
     if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
+        _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
@@ -154,18 +262,12 @@ def write_tokens(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = encoder_of(tokenizer), 0
         for batch in slices(batches, "body"):
-            ids = encoder.encode([body or b"" for body in batch.column("body").to_pylist()])
-            sizes = np.array([len(x) + 1 for x in ids], np.int64)
-            ends = np.cumsum(sizes)
-            flat = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.int32)
-            for row, size, end in zip(ids, sizes, ends, strict=True):
-                flat[end - size : end - 1] = row
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
-            starts = before + ends - sizes
-            before += int(sizes.sum())
+            offsets, flat = encoder.encode(batch.column("body"), end_id)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            starts, sizes = pa.array(before + offsets[:-1]), pa.array(np.diff(offsets))
+            before += int(offsets[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(starts), pa.array(sizes), lists],
-                ["doc_id", "shard_start", "n_tokens", "ids"],
+                [batch.column("doc_id"), starts, sizes, lists], ["doc_id", "shard_start", "n_tokens", "ids"]
             )
 
     bodies = documents.select(
@@ -223,7 +325,7 @@ def token_lengths(documents: DataFrame, tokenizer: str, text: str = "text", doc_
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
         for batch in slices(batches, "body"):
-            sizes = [len(x) for x in encoder.encode([b or b"" for b in batch.column("body").to_pylist()])]
+            sizes = encoder.lengths(batch.column("body"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64())], ["doc_id", "n_tokens"]
             )

@@ -338,6 +338,49 @@ def test_token_files_round_trip(spark, tokenizer, tmp_path):
     assert sums == {(r.start, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in back}
 
 
+@pytest.mark.parametrize("file,by_word", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_of_odd_texts_are_the_librarys(file, by_word):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(file)
+    library, encoder = Tokenizer.from_file(path), tokens.Encoder(path)
+    assert encoder.by_word == by_word
+    symbols = ("a B z \u0130 \u0131 \u00df \u00e9 \u00c9 e\u0301 \u0301 \u0307 \ufb01 \u039f\u03a3 \u65e5 \u00bd 1 23 's 'S ' \u2019 . , ! ? * - \" ) ( <| |> "
+               "<|endoftext|> <|ENDOFTEXT|> _ \U0001f600 \u212a \u00c5 \u01c4 \u01c5 \u00aa \u00ba \u0149 \u1e9e \u017f ........").split(" ")
+    symbols += [" ", "\t", "\n", "\x1c", "\x85", "\u00a0", "\u2003", "\x0b", "\x00", "\u200d"]
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(symbols, k=rng.randrange(12))) for _ in range(10_000)]
+    texts += [a + b + c for a in symbols for b in symbols for c in (".", "")] + [None, "", "x" * 5_000]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        raw = pa.array([None if t is None else t.encode() for t in some], pa.binary())
+        offsets, ids = encoder.encode(raw, 7)
+        want = [[*library.encode(t or "", add_special_tokens=False).ids, 7] for t in some]
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(offsets)] == want
+        assert encoder.lengths(raw).tolist() == [len(x) - 1 for x in want]
+
+
+def test_only_files_of_the_known_kind_are_cut_into_words():
+    import json
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        known = json.load(file)
+    assert tokens.cuts_at_white_space(known) and not tokens.cuts_at_white_space({})
+    for name, value in (("normalizer", None), ("pre_tokenizer", {"type": "Whitespace"}), ("truncation", {"max_length": 5})):
+        assert not tokens.cuts_at_white_space(known | {name: value})
+
+
+def test_token_files_of_another_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    tokens.write_tokens(docs(spark, ODD_ROWS + ODD_TEXTS), str(tmp_path / "t"), path, end_id=50256)
+    got = sorted((str(r.doc_id), r.ids) for r in tokens.read_tokens(spark, str(tmp_path / "t")).collect())
+    assert got == sorted((str(i), [*library.encode(t or "", add_special_tokens=False).ids, 50256]) for i, t in ODD_ROWS + ODD_TEXTS)
+
+
 def test_token_files_have_page_indexes_and_small_groups(spark, tmp_path):
     import pyarrow.parquet as pq
 
