@@ -70,7 +70,8 @@ def op6_token_output(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    """What the shards of the mix hold of each document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents")).counted()
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
@@ -235,7 +236,9 @@ ORACLES = {
             FROM chosen WHERE damage <> 0),
         placed AS (
             SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS i,
-                regexp_matches(text, '[^ 	-]') AS says, regexp_matches(text, '[.!?][ 	-]*$') AS stops
+                regexp_matches(text, '[^ 	-
+]') AS says, regexp_matches(text, '[.!?][ 	-
+]*$') AS stops
             FROM hurt),
         faults AS (
             SELECT *, NOT says AS blank, says AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
@@ -311,7 +314,8 @@ ORACLES = {
             FROM p),
         nodes AS (
             SELECT key, depth, min(conv_id) AS conv_id, any_value(CASE WHEN depth > 0 THEN above END) AS above, count(*) AS n_convs,
-                (count(*) - 1) * CASE WHEN depth > 0 THEN len(regexp_extract_all(any_value(said), '[^ 	-]+')) ELSE 0 END AS saved,
+                (count(*) - 1) * CASE WHEN depth > 0 THEN len(regexp_extract_all(any_value(said), '[^ 	-
+]+')) ELSE 0 END AS saved,
                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
             FROM k GROUP BY key, depth),
         children AS (SELECT above, count(*) AS n FROM nodes GROUP BY above),

@@ -435,17 +435,14 @@ def mixing_rows(seed):
     return [*rows, (9000, None, "a"), (9001, "", None), (None, "no id here", "b"), (9002, "only one", "tiny"), (9003, "", "empty")]
 
 
-def test_mix_meets_targets(spark):
-    rows = mixing_rows(1)
-    frame = docs(spark, rows)
-    got = mixing.mix(frame, block_rows=64).collect()
+def mixing_targets(rows, share=1.5):
     count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-    size, source = {}, {}
-    for i, t, s in rows:
-        source[i], size[s] = s, size.get(s, 0) + count(t)
-    names = sorted((s for s in size if s is not None)) + [None]
+    size = {}
+    for _, t, s in rows:
+        size[s] = size.get(s, 0) + count(t)
+    names = sorted(s for s in size if s is not None) + ([None] if None in size else [])
     weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
-    target, left, rest = {}, 1.5 * sum(size.values()), set(names)
+    target, left, rest = {}, share * sum(size.values()), set(names)
     while rest:
         over = {s for s in rest if left * weight[s] / sum(weight[x] for x in rest) > 2 * size[s]}
         if not over:
@@ -454,27 +451,83 @@ def test_mix_meets_targets(spark):
         target |= {s: 2.0 * size[s] for s in over}
         left -= sum(target[s] for s in over)
         rest -= over
-    taken = dict.fromkeys(names, 0)
-    assert len(got) == len(rows)
-    for r in got:
-        s = source[r.doc_id]
-        assert r.source_size == size[s] and abs(r.target - target[s]) < 1e-6 and 0 <= r.copies <= 2
-        assert len(r.draws) == r.copies and all(0 <= d.shard < mixing.SHARDS for d in r.draws)
-        taken[s] += r.size * r.copies
-    assert {s: (taken[s], target[s]) for s in names if abs(taken[s] - target[s]) > 10} == {}
-    shards = [d.shard for r in got for d in r.draws]
-    assert min(shards.count(k) for k in range(mixing.SHARDS)) > 0
-    again = mixing.mix(frame.repartition(7), block_rows=64).collect()
+    return size, target
+
+
+def mixed_rows(mixed):
+    """(source, doc_id, size, source_size, target, copies) of all documents."""
+    return [
+        (None if r.source_key == "t" else r.source_key[1:], r.doc_id, r.size, r.source_size, r.target, r.copies)
+        for r in mixed.counted().collect()
+    ]
+
+
+def test_mix_meets_targets(spark):
+    rows = mixing_rows(1)
+    frame = docs(spark, rows)
+    mixed = mixing.mix(frame, block_rows=16, shards=7)
+    got = mixed_rows(mixed)
+    size, target = mixing_targets(rows)
+    taken = dict.fromkeys(size, 0)
+    assert len(got) == len(rows) and sum(1 for r in got if r[1] is None) == 1
+    for s, _, words_, source_size, goal, copies in got:
+        assert source_size == size[s] and abs(goal - target[s]) < 1e-6 and 0 <= copies <= 2
+        taken[s] += words_ * copies
+    assert {s: (taken[s], target[s]) for s in size if abs(taken[s] - target[s]) > 30} == {}  # half a small document
+    again = mixed_rows(mixing.mix(frame.repartition(7), block_rows=16, shards=7))
     assert sorted(map(str, again)) == sorted(map(str, got))
-    assert mixing.mix(empty(spark)).count() == 0
+    assert mixing.mix(empty(spark)).counted().count() == 0
+
+    # Shards hold whole blocks, as many as each other, and no block twice in one copy.
+    draws = mixed.draws.collect()
+    assert {d.shard for d in draws} == set(range(7)) and len({(d.place, d.copy) for d in draws}) == len(draws)
+    by_shard = [sum(d.shard == k for d in draws) for k in range(7)]
+    assert max(by_shard) < 1.5 * min(by_shard)
+    assert len({d.order for d in draws}) == len(draws)
+
+
+@pytest.mark.parametrize("share", [0.5, 1.5])
+def test_a_very_long_document_does_not_spoil_a_target(spark, share):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(5, 55), "a") for i in range(2500)] + [(9999, "w " * 100_000, "a")]
+    rows += [(None, f"n{i} " * rng.randrange(5, 55), "b") for i in range(1500)]  # no id: documents of their own
+    rows += [(7, "same " * 20, "c")] * 900 + [(20_000 + i, "w " * 3_000, "d") for i in range(8)]
+    size, target = mixing_targets(rows, share)
+    taken = dict.fromkeys(size, 0)
+    for s, _, words_, _, _, copies in mixed_rows(mixing.mix(docs(spark, rows), block_rows=64, shards=3, share=share)):
+        taken[s] += words_ * copies
+    for s in "abc":
+        assert abs(taken[s] - target[s]) <= max(20, 0.001 * target[s]), (s, taken[s], target[s])
+    assert abs(taken["d"] - target["d"]) <= 1_500  # eight long documents: to half of one
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(3)
+    sizes = [rng.choice([0, 1, 5, 10_000, rng.randrange(2_000)]) for _ in range(400)]
+    keys = sorted(f"s{i:03}" for i in range(400))
+    frame = spark.createDataFrame([(k, n, 1) for k, n in zip(keys, sizes)], "source_key string, source_size long, rows long")
+    weighted = mixing.with_weights(frame.repartition(3), (3.0, 1.0, 2.0))
+    got = {r.source_key: (r.weight, r.target) for r in mixing.with_targets(weighted, 1.5, 2).collect()}
+    _, want = mixing_targets([(i, "w " * n, k) for i, (k, n) in enumerate(zip(keys, sizes))])
+    assert [got[k][0] for k in keys] == [(3.0, 1.0, 2.0)[i % 3] for i in range(400)]
+    assert all(abs(got[k][1] - want[k]) < 1e-6 * max(1, want[k]) for k in keys)
 
 
 def test_split_quotas_are_exact():
     quotas = np.array([0, 1, 17, 1000, 333])
-    parts = mixing.split_quotas(quotas, 7, 1)
-    assert (parts.sum(axis=0) == quotas).all() and (parts >= 0).all()
-    assert max(parts.sum(axis=1)) - min(parts.sum(axis=1)) <= 3
-    assert (mixing.split_quotas(quotas, 7, 1) == parts).all()
+    totals = mixing.even(int(quotas.sum()), 7)
+    shard, source, blocks = mixing.split_quotas(quotas, totals, [1])
+    parts = np.zeros((7, 5), np.int64)
+    parts[shard, source] = blocks
+    assert (parts.sum(axis=0) == quotas).all() and (parts.sum(axis=1) == totals).all() and (blocks > 0).all()
+    assert all((a == b).all() for a, b in zip(mixing.split_quotas(quotas, totals, [1]), (shard, source, blocks)))
+    huge = np.array([3_000_000_000, 1_000_000_000])
+    drawn = mixing.draw(huge, 2_000_000_000, np.random.default_rng(1))
+    assert drawn.sum() == 2_000_000_000 and abs(drawn[0] / 1.5e9 - 1) < 0.01
+    # Over many seeds a source's share of a shard is its share of all blocks.
+    some = [mixing.split_quotas(quotas, totals, [k]) for k in range(200)]
+    mean = np.mean([n[(s == 0) & (q == 3)].sum() for s, q, n in some])
+    assert abs(mean / (totals[0] * 1000 / 1351) - 1) < 0.03
 
 
 # ---- helpers ---------------------------------------------------------------------

@@ -119,12 +119,21 @@ def test_pipeline_stages_decide(spark):
     from tallyboard.llm import simhash
 
     least = {r.doc_id for r in simhash.near_duplicates(documents).where("doc_id = component_id").collect()}
-    assert sorted(i for i in found if i is not None) == sorted(least) and found.count(None) == 1
+    assert sorted(found) == sorted(least)  # of repeated rows one stays; the row without an id is a copy
+    other = documents.unionByName(documents.limit(1).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit("a text of its own")}))
+    assert [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, other, SMALL).collect()].count(None) == 1
+    shared = documents.withColumn("doc_id", F.lit(1).cast("long"))  # one id for all: each row counts by its text
+    assert corpus_pipeline.drop_near_duplicates(spark, shared, SMALL).count() == len(least)
 
     clean = corpus_pipeline.drop_contaminated(spark, documents, SMALL)
     bench = [decontaminate.normal_form(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     held = {r.doc_id for r in documents.collect() if any(b in decontaminate.normal_form(r.text or "") for b in bench)}
-    assert {r.doc_id for r in documents.collect()} - {r.doc_id for r in clean.collect()} >= held
+    bench_table = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    near_passages = {r.doc_id for r in decontaminate.contaminated(documents, bench_table).collect()}
+    assert near_passages >= held
+    assert {r.doc_id for r in documents.collect()} - {r.doc_id for r in clean.collect()} == near_passages
+    unnamed = documents.withColumn("doc_id", F.lit(None).cast("long"))
+    assert corpus_pipeline.drop_contaminated(spark, unnamed, SMALL).count() == clean.count()
 
     mixed = corpus_pipeline.mix_sources(spark, documents, SMALL)
     assert mixed.columns == documents.columns
