@@ -2,7 +2,8 @@
 
 Every stage gets all rows that its predecessor kept and returns the columns of ``documents``, but the last,
 which returns the token rows. Extra columns pass through unchanged, whatever their names.
-A row without doc_id cannot be named by a decision: filters leave it in. Empty in, empty out.
+Decisions are made for rows: a stage numbers its rows first, so rows without an id, and rows that share one, are
+judged each by its own text. Empty in, empty out.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyboard.llm import decontaminate, mixing, quality, queries, simhash, tokens
-from tallyboard.llm.common import stored, table, without_ids
+from tallyboard.llm.common import stored, table
 from tallyboard.session import configure, new_run_dir
 
 QUALITY_THRESHOLD = 0.3
@@ -21,6 +22,12 @@ def _named(documents: DataFrame) -> list:
     return [F.col(f"`{name}`") for name in documents.columns]
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(key, row, doc_id, text, source): the rows with a number of their own, written once so that it stays."""
+    whole = docs.select(F.struct(*_named(docs)).alias("row"), F.monotonically_increasing_id().alias("key"))
+    return stored(whole, "keyed").select("key", "row", "row.doc_id", "row.text", "row.source")
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble does not reject. A null text is judged as an empty one."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -29,40 +36,41 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id. Of rows that repeat an id one stays."""
-    found = simhash.near_duplicates(docs)
-    kept = without_ids(docs, found.where("doc_id <> component_id"))
-    repeated = stored(
-        docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
-    )
-    if repeated.isEmpty():
-        return kept
-    again = repeated.select(F.col("doc_id").alias("_again"))
-    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return without_ids(kept, repeated).unionByName(once)
+    """One document of each group: the one with the smallest id; a row without an id only where no row has one."""
+    rows = _keyed(docs)
+    found = simhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
+    groups = stored(found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group")), "groups")
+    sizes = groups.groupBy("group").count().where("count > 1")
+    # Only rows of groups with several meet here, as numbers; a group's least row is found before any shuffle.
+    crowd = groups.join(sizes, "group", "left_semi").join(rows.select("key", "doc_id"), "key")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    kept = crowd.groupBy("group").agg(F.min(order).alias("least")).select("least.key")
+    dropped = stored(crowd.select("key").join(kept, "key", "left_anti"), "dropped")
+    return rows.join(dropped, "key", "left_anti").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return without_ids(docs, stored(found.select("doc_id").distinct(), "contaminated"))
+    rows = _keyed(docs)
+    found = decontaminate.contaminated(rows.select(F.col("key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    dropped = stored(found.select(F.col("doc_id").alias("key")).distinct(), "contaminated")
+    return rows.join(dropped, "key", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix draws it: none, once or twice. Rows without an id are drawn alike."""
-    drawn = mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
-    decided = drawn.select(F.col("doc_id").alias("_mixed_id"), F.sequence(F.lit(1).cast("long"), "copies").alias("_times"))
-    joined = docs.select(F.struct(*_named(docs)).alias("_row"), F.col("doc_id").alias("_own_id")).join(
-        decided, F.col("_own_id").eqNullSafe(F.col("_mixed_id"))
-    )
-    return joined.select("_row", F.explode("_times")).select("_row.*")
+    """Each document as often as the mix draws it (none, once or twice), in the order of the mix's shards."""
+    rows = _keyed(docs)
+    mixed = mixing.mix(rows, doc_id="key")
+    named = mixed.documents.select("place", F.col("doc_id").alias("drawn_key"))
+    drawn = mixed.draws.join(named, "place").select("drawn_key", "shard", "order")
+    joined = rows.join(drawn, F.col("key") == F.col("drawn_key")).select("row", "shard", "order")
+    return joined.repartitionByRange("shard", "order").sortWithinPartitions("shard", "order").select("row.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token rows read back from the files: doc_id, start, n_tokens, ids; in a shuffled order, copies apart."""
+    """Token rows read back from the files: doc_id, start, n_tokens, ids; in a shuffled order, copies side by side."""
     path = new_run_dir(spark, "tokens")
-    order = F.xxhash64("doc_id", F.monotonically_increasing_id())
-    tokens.write_tokens(docs, path, queries.default_tokenizer(), order=order)
+    tokens.write_tokens(docs, path, queries.default_tokenizer(), order=F.xxhash64("doc_id", "text"))
     return tokens.read_tokens(spark, path)
 
 
