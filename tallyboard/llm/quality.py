@@ -86,7 +86,9 @@ def fit(
         documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
         training_ids(labels, "quality", rows),
     )
-    table = with_statistics(chosen).select("doc_id", "y", *FEATURES).dropDuplicates(["doc_id"]).toPandas()
+    # Of rows that repeat an id the one with the least statistics teaches, the same one every time.
+    one = with_statistics(chosen).groupBy("doc_id").agg(F.min(F.struct("y", *FEATURES)).alias("row"))
+    table = one.select("doc_id", "row.*").toPandas()
     table = table.sort_values("doc_id")  # the same sums in the same order every time
     x = table[list(FEATURES)].to_numpy(np.float64)
     return fit_rules(x, table["y"].to_numpy(np.float64), FEATURES)

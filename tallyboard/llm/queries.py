@@ -199,16 +199,15 @@ _GROWN = "length({0}) + (length({0}) - length(replace({0}, '\\', '')))" + "".joi
 )
 
 _KNOWN = ", ".join(f"('{said}', '{name}')" for name, said in licences.SENTENCES.items())
-_LICENCES = ", ".join(
-    "CASE WHEN "
-    + " OR ".join(
-        f"contains(' ' || sentence_ids || ' ', ' {' '.join(r.sentences)} ')"
-        for r in licences.RULES
-        if r.licence == name
-    )
-    + f" THEN '{name}' END"
-    for name in dict.fromkeys(r.licence for r in licences.RULES)
-)
+
+
+def _licence_hits(ids: str) -> str:
+    """The rules that an ordered list of identifiers meets, by number."""
+    runs = enumerate((" ".join(r.sentences), r.licence) for r in licences.RULES)
+    return "[" + ", ".join(f"CASE WHEN contains({ids}, ' {run} ') THEN {n} END" for n, (run, _) in runs) + "]"
+
+
+_RULE_NAMES = ", ".join(f"({n}, '{rule.licence}')" for n, rule in enumerate(licences.RULES))
 
 
 def _crc32(text: str) -> str:
@@ -327,18 +326,39 @@ ORACLES = {
         SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
             s.n_leaves, s.saved_tokens, n.ends_sha256
         FROM nodes n JOIN sums s ON s.key = n.key LEFT JOIN children c ON c.above = n.key LEFT JOIN nodes u ON u.key = n.above""",
-    "op3_license_scan": f"""
-        WITH sentences AS (
-            SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '\\n|[.!?;:](\\s|$)')) AS said,
-                generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), '\\n|[.!?;:](\\s|$)'), 1) AS place
+    # Sentence ends become bars, and the text between two bars is looked up.
+    "op3_license_scan": rf"""
+        WITH bare AS (
+            SELECT row_number() OVER () AS nr, doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                regexp_replace(lower(replace(coalesce(text, ''), '|', ' ')), '\r\n?', chr(10), 'g'),
+                '(?m)^[ \t]*(//+|#+|/\*+|\*+/?|--|;+|%+|<!--)|(\*+/|-->)[ \t]*$', '', 'g'),
+                'https?://[^\s]+', chr(10) || chr(10), 'g'), '(identifier|\bv)[.:] ', '\1 ', 'g'),
+                '(copyright[^\n]*?)\b(permission is hereby|permission to use|licensed under|redistribution and use|this program is|this library is|this source code)',
+                '\1' || chr(10) || chr(10) || '\2', 'g') AS said
             FROM documents),
+        barred AS (
+            SELECT nr, doc_id, 1 AS reading, regexp_replace(said, '\n|[.!?;:](\s|$)', '|', 'g') AS line FROM bare
+            UNION ALL
+            SELECT nr, doc_id, 2, regexp_replace(said, '\n\s*\n|[.!?;:](\s|$)', '|', 'g') FROM bare),
+        cut AS (
+            SELECT nr, doc_id, reading, unnest(string_split(line, '|')) AS sentence, generate_subscripts(string_split(line, '|'), 1) AS place
+            FROM barred),
         known(said, name) AS (VALUES {_KNOWN}),
         found AS (
-            SELECT doc_id, string_agg(name, ' ' ORDER BY place) AS sentence_ids, count(*) AS n_sentences
-            FROM sentences s JOIN known k ON trim(regexp_replace(s.said, '[^a-z0-9]+', ' ', 'g')) = k.said
-            GROUP BY doc_id)
-        SELECT doc_id, sentence_ids, n_sentences, array_to_string([{_LICENCES}], ' ') AS licences
-        FROM found""",
+            SELECT nr, doc_id, reading, string_agg(name, ' ' ORDER BY place) AS ids, count(*) AS n
+            FROM cut JOIN known k
+                ON regexp_replace(trim(regexp_replace(sentence, '[^a-z0-9]+', ' ', 'g')), '^[0-9][0-9]? ([a-z])', '\1') = k.said
+            GROUP BY nr, doc_id, reading),
+        rules(n, licence) AS (VALUES {_RULE_NAMES}),
+        met AS (
+            SELECT nr, string_agg(licence, ' ' ORDER BY first) AS licences FROM (
+                SELECT nr, licence, min(rules.n) AS first
+                FROM (SELECT nr, unnest({_licence_hits("' ' || ids || ' '")}) AS n FROM found) hits JOIN rules ON rules.n = hits.n
+                GROUP BY nr, licence)
+            GROUP BY nr)
+        SELECT f.doc_id, f.ids AS sentence_ids, f.n AS n_sentences, coalesce(m.licences, '') AS licences
+        FROM found f LEFT JOIN met m ON m.nr = f.nr
+        QUALIFY row_number() OVER (PARTITION BY f.nr ORDER BY f.n DESC, reading) = 1""",
     "op1_chat_format": f"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -15,12 +15,13 @@ from tallyboard.llm.common import slices, text_or_empty
 from tallyboard.llm.labels import SAMPLE_ROWS, held_out, training_ids, training_rows
 
 #: Lengths of the word beginnings that may carry a meaning; 0 stands for the whole word.
-STEM_LENGTHS = (0, 4, 5, 6)
-#: The most stems that the lexicon holds, the surest first, and how sure they have to be (G statistic).
-LEXICON_ROWS = 2_000
-SURE = 30.0
-#: Toxic documents that a stem needs for each other document that has it.
-PURE = 4
+STEM_LENGTHS = (0, 4, 5, 6, 7)
+#: The most stems that the lexicon holds, the surest first, and how sure they have to be (G statistic): less than one in
+#: 100,000 stems that mean nothing is as sure as that.
+LEXICON_ROWS = 50_000
+SURE = 20.0
+#: Toxic documents that a stem needs for each other document that has it; how much it counts follows from both.
+PURE = 1
 KNOWN_WORDS = 300_000
 
 # Function words of the grammar, in English, German, French and Spanish.
@@ -257,7 +258,9 @@ def fit(
     chosen = training_rows(
         documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
         training_ids(labels, "toxic", rows),
-    ).select("doc_id", "text", "y").dropDuplicates(["doc_id"])
+    )
+    # Of rows that repeat an id the one with the least text teaches, the same one every time.
+    chosen = chosen.groupBy("doc_id").agg(F.min(text_or_empty()).alias("text"), F.max("y").alias("y"))
     lexicon = learn_lexicon(chosen)
     table = outcome_columns(chosen, lexicon, "text", ["doc_id", "y"]).toPandas().sort_values("doc_id")
     prior = np.array((-3.0, *PRIOR))

@@ -225,19 +225,128 @@ def test_components(spark):
 # ---- licences --------------------------------------------------------------------
 
 
+# Licence notices as they are published.
+NOTICES = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "Apache-2.0": """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS.""",
+}
+
+
+def notice_forms(text):
+    lines = text.split("\n")
+    yield text
+    yield " ".join(line.strip() for line in lines if line.strip())
+    yield "\r\n".join(lines)
+    for mark in ("// ", "# ", " * ", "-- ", ";; "):
+        yield "\n".join((mark + line).rstrip() for line in lines)
+    yield "/*\n" + "\n".join(" * " + line for line in lines) + "\n */\nint main;"
+    yield "<!--\n" + text + "\n-->"
+    yield "Some prose without a stop\n\n" + text + "\n\nMore prose."
+
+
+@pytest.mark.parametrize("name", sorted(NOTICES))
+def test_published_notices_are_recognised(spark, name):
+    rows = list(enumerate(notice_forms(NOTICES[name])))
+    got = {r.doc_id: r.licences for r in licences.licences(docs(spark, rows)).collect()}
+    assert got == {i: name for i, _ in rows}
+
+
 def test_licence_rules_need_their_order(spark):
     s = licences.SENTENCES
-    full = ". ".join(s[i] for i in ("bsd_redistribute", "bsd_source", "bsd_binary")).title() + "."
-    turned = ". ".join(s[i] for i in ("bsd_binary", "bsd_source", "bsd_redistribute"))
-    between = ". ".join([s["mit_grant"], "some other words", s["mit_notice"], s["as_is"]])
-    rows = [(1, full), (2, turned), (3, between), (4, "Released under the MIT License.\nSPDX-License-Identifier: Apache-2.0"),
-            (5, None), (6, ""), (7, "all rights reserved"), (7, "all rights reserved"), (None, "ALL RIGHTS RESERVED!"), (8, "x " * 20_000)]
+    full = ". ".join(s[i] for i in ("bsd_redistribute", "bsd_source_short", "bsd_binary_short")).title() + "."
+    turned = ". ".join(s[i] for i in ("bsd_binary_short", "bsd_source_short", "bsd_redistribute"))
+    between = ". ".join([s["mit_grant_short"], "some other words", s["mit_notice"], s["as_is"]])
+    rows = [(1, full), (2, turned), (3, between), (4, "Released under the MIT License.\n// SPDX-License-Identifier: Apache-2.0"),
+            (5, None), (6, ""), (7, "all rights reserved"), (7, "all rights reserved"), (None, "ALL RIGHTS RESERVED!"), (8, "x " * 20_000),
+            (9, "/* SPDX-License-Identifier: GPL-3.0-or-later */"), (10, "long line of prose without any stop at its end, so it may go on\nAll rights reserved."),
+            (11, "the license of software permits"), (12, "SPDX-License-Identifier: MIT and more")]
     got = sorted(((r.doc_id, r.licences, r.n_sentences) for r in licences.licences(docs(spark, rows)).collect()), key=str)
-    assert got == sorted([(1, "BSD-2-Clause", 3), (2, "", 3), (3, "MIT", 3), (4, "MIT", 1), (7, "Proprietary", 1),
-                          (7, "Proprietary", 1), (None, "Proprietary", 1)], key=str)
+    assert got == sorted([(1, "BSD-2-Clause", 3), (2, "", 3), (3, "MIT", 3), (4, "MIT Apache-2.0", 2), (7, "Proprietary", 1),
+                          (7, "Proprietary", 1), (None, "Proprietary", 1), (9, "GPL-3.0", 1), (10, "Proprietary", 1)], key=str)
     assert licences.licences(empty(spark)).count() == 0
 
 
+def test_every_known_sentence_passes_the_first_look(spark):
+    said = list(licences.SENTENCES.values())
+    table = spark.createDataFrame([(x.upper(),) for x in said], "t string")
+    assert table.where(licences.may_hold_sentence(F.col("t"), licences.SENTENCES)).count() == len(said)
+    assert all(licences.normal_form(x) == x for x in said) and len(set(said)) == len(said)
+    assert {name for r in licences.RULES for name in r.sentences} <= set(licences.SENTENCES)
+
+
 # ---- decontamination -------------------------------------------------------------
 
 

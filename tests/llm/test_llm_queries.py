@@ -34,14 +34,48 @@ def test_quality_on_held_out_documents(spark):
     assert sum(got[i].predicted for i, y in truth.items() if y) / sum(truth.values()) >= 0.97
 
 
-def test_toxicity_on_held_out_documents(spark):
-    got = {r.doc_id: r for r in queries.op10_toxicity(spark, SF_DIR).collect()}
-    truth = held_out_labels(spark, "toxic")
-    clean = [got[i].predicted for i, y in truth.items() if not y]
-    assert sum(clean) == 0
-    english = {r.doc_id for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").where("lang = 'en'").collect()}
-    toxic = [got[i].predicted for i, y in truth.items() if y and i in english]
-    assert toxic and sum(toxic) == len(toxic)
+def test_toxicity_on_held_out_documents_of_all_languages(spark):
+    large = "/root/testdata/sf0.1"
+    got = {r.doc_id: r.predicted for r in queries.op10_toxicity(spark, large).collect()}
+    table = spark.read.parquet(f"{large}/labels.parquet").where(labels.held_out() & F.col("toxic").isNotNull())
+    lang = spark.read.parquet(f"{large}/documents.parquet").select("doc_id", "lang")
+    marks = {}
+    for r in table.join(lang, "doc_id").collect():
+        marks.setdefault((r.lang, r.toxic), []).append(got[r.doc_id])
+    clean = [p for (_, y), some in marks.items() if not y for p in some]
+    toxic = [p for (_, y), some in marks.items() if y for p in some]
+    assert sum(clean) <= 0.005 * len(clean)
+    # About one labelled document in twenty is a single word or line over and over, without any insult.
+    assert sum(toxic) >= 0.92 * len(toxic)
+    for name in ("en", "de", "fr", "es"):
+        assert sum(marks[name, 1]) >= 0.8 * len(marks[name, 1]), name
+
+
+def test_the_lexicon_counts_as_stated(spark):
+    import math
+
+    texts = [("you foul beast and foolish foulard", 1), ("a foul day", 1), ("this foulness", 1), ("so foul indeed", 1), ("the foul end", 1)]
+    texts += [(f"plain words number{i} and so on", 0) for i in range(40)] + [("one foul word", 0), ("copied text here", 1)]
+    texts += [("copied text here", 1)] * 6
+    frame = spark.createDataFrame(texts, "text string, y int")
+    words = [(re.findall(r"[^\W\d_]+", t), y) for t, y in texts]
+    positive, negative = sum(y for _, y in words), sum(1 - y for _, y in words)
+    want = {}
+    for stem in {s for ws, _ in words for w in ws for s in toxicity.stems_of(w)}:
+        has = lambda ws: any(stem in toxicity.stems_of(w) for w in ws)
+        p, n = sum(y for ws, y in words if has(ws)), sum(1 - y for ws, y in words if has(ws))
+        before = {b for ws, y in words if y for b, w in zip(["", *ws], ws) if stem in toxicity.stems_of(w)}
+        if p < 3:
+            continue
+        p = min(p, len(before))
+        share = positive / (positive + negative)
+        sure = 2 * (p * math.log(p / ((p + n) * share)) + (n * math.log(n / ((p + n) * (1 - share))) if n else 0))
+        if sure >= toxicity.SURE and p > toxicity.PURE * n:
+            want[stem] = (math.log((p + 0.5) / (positive + 1)) - math.log((n + 0.5) / (negative + 1))) / 4
+    monkey = toxicity.SURE
+    got = toxicity.learn_lexicon(frame)
+    assert monkey == toxicity.SURE and got.keys() == want.keys()
+    assert all(abs(got[s] - want[s]) < 1e-9 for s in want) and not any("copi" in s for s in got)
 
 
 def test_models_without_labels_and_odd_rows(spark):
@@ -93,7 +127,7 @@ def test_grammar_scores_clauses():
         return total[outcome] > 0 and sum(total) == total[outcome]
 
     assert only("what an idiot.", plain) and only("you are an idiot", targeted) and only("idiot, you", targeted)
-    assert only("this is not idiot talk", negated) and only("they wrote such idiot lines", reported) is not None
+    assert only("this is not idiot talk", negated) and only("they wrote such idiot lines", reported)
     assert only("someone said idiot", reported) and only('a "stray idiot" remark', reported)
     assert only("we will kill you", threat) and not reader.outcomes("kill the lights").any()
     assert reader.outcomes("loweischaft und")[plain] == 0.5
