@@ -169,6 +169,20 @@ def load_rules(category_patterns: DataFrame, bound: BroadcastBound | None = None
     return Rules(effective, bounded_rows(effective, bound or DICTIONARY_BOUND))
 
 
+class Dictionary(NamedTuple):
+    """All that a batch needs of a category dictionary: its rules, and the ids of its categories, as rows where they fit the bound."""
+
+    rules: Rules
+    ids: DataFrame
+    id_rows: list[Row] | None
+
+
+def prepared(category_patterns: DataFrame, bound: BroadcastBound | None = None) -> Dictionary:
+    """Measure and fetch a dictionary once, for any number of batches."""
+    ids = category_to_id(category_patterns)
+    return Dictionary(load_rules(category_patterns, bound), ids, bounded_rows(ids, bound or DICTIONARY_BOUND))
+
+
 def with_url_category(
     messages: DataFrame, rules: Rules, strategy: str | None = None, probe: Column | None = None
 ) -> DataFrame:
@@ -248,16 +262,16 @@ def with_label_category(
 
 def classify(
     messages: DataFrame,
-    category_patterns: DataFrame,
+    category_patterns: DataFrame | Dictionary,
     learned_labels: DataFrame | None = None,
     url_match: str | None = None,
     bound: BroadcastBound | None = None,
 ) -> DataFrame:
     """Add ``category``, ``method`` and ``is_llm`` to messages with app, title and url.
 
-    ``bound`` replaces the bounds of the dictionary and of the label table.
+    ``bound`` replaces the bounds of the dictionary and of the label table. A ``prepared`` dictionary is not measured again.
     """
-    rules = load_rules(category_patterns, bound)
+    rules = category_patterns.rules if isinstance(category_patterns, Dictionary) else load_rules(category_patterns, bound)
     urls = rules.of(URL).rows
     url_match = url_match or url_strategy(None if urls is None else len(urls))
     few_labels = learned_labels is None or within_bound(learned_labels, bound or DEFAULT_BOUND)
@@ -299,10 +313,13 @@ def _resolved(
     )
 
 
-def attach_category_id(classified: DataFrame, category_patterns: DataFrame) -> DataFrame:
+def attach_category_id(classified: DataFrame, category_patterns: DataFrame | Dictionary) -> DataFrame:
     """Add ``category_id``; a category without a document gets the zero id."""
-    ids = category_to_id(category_patterns)
-    rows = bounded_rows(ids, DICTIONARY_BOUND)
+    if isinstance(category_patterns, Dictionary):
+        _, ids, rows = category_patterns
+    else:
+        ids = category_to_id(category_patterns)
+        rows = bounded_rows(ids, DICTIONARY_BOUND)
     known = ids if rows is None else F.broadcast(local_frame(ids, rows))
     joined = classified.join(known, "category", "left")
     return joined.select(*classified.columns, F.coalesce("category_id", F.lit(ZERO_ID)).alias("category_id"))
@@ -314,12 +331,3 @@ def unresolved_keys(classified: DataFrame) -> DataFrame:
     keys = classified.where(F.col("method") == BY_DEFAULT).select(app, "title", "url").distinct()
     parts = F.col("app"), F.col("title"), F.col("url")
     return keys.select(label_query(*parts).alias("query"), *parts, label_prompt(*parts).alias("prompt"))
-
-
-def label_keys(unresolved: DataFrame, labeller) -> DataFrame:
-    """Run an external labeller over the unresolved keys.
-
-    ``labeller`` maps an iterator of pandas frames with (query, prompt) to frames
-    with (query, label), the label being the raw answer or null.
-    """
-    return unresolved.select("query", "prompt").mapInPandas(labeller, "query string, label string")

@@ -14,13 +14,14 @@ from tallyboard.operators import classify as cl
 from tallyboard.operators import leaderboard as lb
 from tallyboard.operators import patterns as pt
 from tallyboard.operators import records as rec
+from tallyboard.operators.labelling import attempt_labels, last_attempts
 from tallyboard.operators.lookup import BroadcastBound
-from tallyboard.operators.sessions import session_scores
+from tallyboard.operators.sessions import session_events, session_scores
 from tallyboard.plans import inputs
-from tallyboard.schemas import DAILY_TOTALS, MESSAGES
+from tallyboard.schemas import DAILY_TOTALS, LABEL_ATTEMPTS, MESSAGES
 from tallyboard.session import configure, new_run_dir, stored
-from tallyboard.sources.messages import normalize
-from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
+from tallyboard.sources.messages import normalize, without_repeats_bounded
+from tallyboard.sources.tables import PatternStore, read_batches, write_batch
 from tallyboard.sources.versioned import with_id_part
 from tallyboard.streaming import pipeline as pl
 
@@ -495,6 +496,69 @@ def stream_drop_repeats(spark, sf_dir):
     return pl.current_leaderboard(spark, sinks)
 
 
+@query
+def stream_drop_repeats_bounded(spark, sf_dir):
+    """The ids left of a stream in which three messages share each, by the state of recent ids alone."""
+    run = new_run_dir(spark, "bounded")
+    messages = normalize(inputs.stream_raw_messages(spark, sf_dir))
+    shared = inputs.hex_id(F.floor(F.col("seq") / 3).cast("bigint"))
+    valid = keys.valid_id(F.col("usage_log_id"))
+    marked = messages.withColumn("usage_log_id", F.when(valid, shared).otherwise(F.col("usage_log_id")))
+    fresh = without_repeats_bounded(marked, "4000 days")
+    ids = fresh.select("usage_log_id", F.when(~keys.valid_id(F.col("usage_log_id")), F.col("seq")).alias("unnamed_seq"))
+    writer = ids.writeStream.format("parquet").option("checkpointLocation", f"{run}/checkpoint").option("path", f"{run}/ids")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("usage_log_id string, unnamed_seq long").parquet(f"{run}/ids")
+
+
+@query
+def stream_row_bound(spark, sf_dir):
+    """One file as batches of at most 5,000 messages."""
+    sinks = pl.Sinks(new_run_dir(spark, "rows"))
+    job = pl.UsageJob(
+        sinks,
+        load_patterns=lambda: inputs.category_patterns(spark),
+        load_labels=lambda: inputs.learned_labels(spark, sf_dir),
+        most_rows=5_000,
+    )
+    job.run_available(inputs.stream_raw_messages(spark, sf_dir))
+    sizes = pl.current_metrics(spark, sinks).groupBy("batch_id").agg(F.sum("messages").alias("n"))
+    assert sizes.where("n > 5000").isEmpty()
+    return pl.current_leaderboard(spark, sinks)
+
+
+@query
+def stream_sessions_sent(spark, sf_dir):
+    """The session records handed on after each of three batches, the second of which runs twice."""
+    sinks, out = pl.Sinks(new_run_dir(spark, "outbox")), new_run_dir(spark, "sent")
+    job = pl.UsageJob(sinks, load_patterns=lambda: inputs.category_patterns(spark))
+    raw = inputs.raw_messages(spark, sf_dir)
+    for batch_id in (0, 1, 1, 2):
+        job.process(raw.where(F.col("seq") % 3 == batch_id), batch_id)
+        for _ in range(2):
+            pl.send_sessions(spark, sinks, lambda events: session_events(events).write.mode("append").parquet(out))
+    return spark.read.parquet(out).select("key", "value")
+
+
+def _rehearsed(prompts):
+    """A labeller by the page number in the title: some raise, some have no answer."""
+    pages = [int(prompt.split("Title: Page ")[1].split("\n")[0]) for prompt in prompts]
+    if any(page % 7 == 3 for page in pages):
+        raise RuntimeError("no connection")
+    return [None if page % 5 == 4 else "Game" if page % 2 else " Music " for page in pages]
+
+
+@query
+def label_attempts(spark, sf_dir):
+    """The ledger after three runs over the keys that no stage resolves."""
+    open_keys = stored(cl.unresolved_keys(_classified(spark, sf_dir, labels=True)), "open")
+    root = new_run_dir(spark, "attempts")
+    for run in range(3):
+        earlier = read_batches(spark, root, LABEL_ATTEMPTS).drop("batch_id")
+        write_batch(attempt_labels(open_keys, earlier, _rehearsed, most_tries=2), root, run)
+    return last_attempts(read_batches(spark, root, LABEL_ATTEMPTS).drop("batch_id"))
+
+
 @query
 def stream_usage_logs(spark, sf_dir):
     logs = inputs.usage_logs(spark, sf_dir)
@@ -520,17 +584,15 @@ def batch_metrics(spark, sf_dir):
 
 @query
 def refresh_mapping(spark, sf_dir):
-    """Two batches; between them every category document gets a new id, which only the second sees."""
+    """Three batches; before the last every category document gets a new id, which only that one sees."""
     sinks = pl.Sinks(new_run_dir(spark, "refresh"))
-    versions = [f"{sinks.root}/patterns-{v}" for v in (1, 2)]
+    store = PatternStore(f"{sinks.root}/patterns")
     patterns = inputs.category_patterns(spark)
-    write_snapshot(patterns, versions[0])
-    current = [versions[0]]
-    job = pl.UsageJob(sinks, load_patterns=lambda: spark.read.parquet(current[0]))
+    store.publish(patterns, 1)
+    job = pl.UsageJob(sinks, patterns=store)
     messages = inputs.messages(spark, sf_dir)
-    job.process_messages(messages.where("seq % 2 = 0"), 0)
-    renumbered = inputs.hex_id(F.col("ord") + 100)
-    write_snapshot(patterns.withColumn("category_id", renumbered), versions[1])
-    current[0] = versions[1]
-    job.process_messages(messages.where("seq % 2 = 1"), 1)
+    job.process_messages(messages.where("seq % 4 = 0"), 0)
+    job.process_messages(messages.where("seq % 4 = 2"), 1)
+    store.publish(patterns.withColumn("category_id", inputs.hex_id(F.col("ord") + 100)), 2)
+    job.process_messages(messages.where("seq % 2 = 1"), 2)
     return pl.current_updates(spark, sinks).select("record_id", "category_id")

@@ -454,6 +454,26 @@ FROM with_id w LEFT JOIN logs g ON g.usage_log_id = w.usage_log_id WHERE w.usage
             """SELECT category_id, kind, pattern,
        CAST(row_number() OVER (PARTITION BY category_id, kind ORDER BY place) - 1 AS INTEGER) AS pos
 FROM positions WHERE category_id IN (SELECT category_id FROM patterns)""",
+        ),
+        "stream_drop_repeats_bounded": _sql(
+            MESSAGES,
+            f"""SELECT DISTINCT CASE WHEN usage_log_id = 'bad-id' THEN 'bad-id' ELSE {_hex_id("seq // 3")} END AS usage_log_id,
+       CASE WHEN usage_log_id = 'bad-id' THEN seq END AS unnamed_seq
+FROM messages""",
+        ),
+        "stream_row_bound": _sql(f"{CLASSIFIED_STREAM},{BOARD}", _LEADERBOARD_COLUMNS),
+        "stream_sessions_sent": _sql(
+            f"{NORMALIZED},scores AS ({_SCORES.format('normalized')})",
+            """SELECT user_id AS key,
+       '{"userId":"' || user_id || '","sessionDate":"' || session_date || '","session":"' || session_no || '"}' AS value
+FROM scores""",
+        ),
+        "label_attempts": _sql(
+            CLASSIFIED_LABELS,
+            f"""SELECT query, CAST(CASE WHEN page % 7 = 3 OR page % 5 = 4 THEN 2 ELSE 1 END AS BIGINT) AS tries,
+       CASE WHEN page % 7 = 3 THEN 'failed' WHEN page % 5 = 4 THEN 'no answer' ELSE 'answered' END AS outcome,
+       CASE WHEN page % 7 = 3 OR page % 5 = 4 THEN NULL WHEN page % 2 = 1 THEN 'Game' ELSE ' Music ' END AS label
+FROM (SELECT DISTINCT {_OPEN_KEY}, CAST(substring(title, 6) AS BIGINT) AS page FROM classified WHERE method = 'none')""",
         ),
         "leaderboard_user_rank": _sql(
             f"{CLASSIFIED},{BOARD}", f"SELECT * FROM ({_RANKED}) WHERE CAST(user_id AS BIGINT) % 100 = 0"

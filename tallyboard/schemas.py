@@ -152,3 +152,10 @@ UPDATE_COUNTS = _struct(updates=_L, matched=_L, modified=_L, no_op=_L)
 FOLDS = _struct(segment=_S)
 
 MANIFEST = _struct(kind=_S, part=_S, folder=_S)
+
+#: Session records of a job, with an id that a repeated sending shows.
+SESSION_OUTBOX = T.StructType([*SESSION_SCORES.fields, T.StructField("event_id", _S)])
+
+SENT = _struct(events=_L)
+
+LABEL_ATTEMPTS = _struct(query=_S, tries=_L, outcome=_S, label=_S)

@@ -13,7 +13,9 @@ from tallyboard.functions.parsing import (
     long_or_zero,
     text_or_empty,
 )
+from tallyboard.functions.periods import whole_seconds
 from tallyboard.schemas import MESSAGE_STREAM, RAW_MESSAGES
+from tallyboard.session import stored
 
 # Fixed field names of a raw message.
 FIELDS = {
@@ -105,3 +107,37 @@ def without_repeats(messages: DataFrame, seen_ids: DataFrame | None = None) -> D
         earlier = seen_ids.select(F.col("record_id").alias("earlier_id")).distinct()
         fresh = fresh.join(earlier, F.lower("usage_log_id") == F.col("earlier_id"), "left_anti")
     return fresh.unionByName(messages.where(~has_id))
+
+
+def without_repeats_bounded(messages: DataFrame, lateness: str) -> DataFrame:
+    """``without_repeats`` for a stream, with state that is bounded by time instead of a table of all ids.
+
+    An id is forgotten ``lateness`` after the time of its message; a repeat within that is dropped, one that comes later counts
+    again. Of equal ids in one micro-batch any one stays. Messages without a valid id stay, as do late ones.
+    """
+    record = F.when(valid_id(F.coalesce("usage_log_id", F.lit(""))), F.lower("usage_log_id"))
+    keyed = messages.withColumns(
+        {
+            "event_time": F.timestamp_seconds(F.coalesce(whole_seconds(F.col("ts_epoch")), F.lit(0))),
+            "repeat_key": F.coalesce(record, F.concat(F.lit("message "), F.col("seq").cast("string"))),
+        }
+    )
+    fresh = keyed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["repeat_key"])
+    return fresh.drop("event_time", "repeat_key")
+
+
+def row_ranges(messages: DataFrame, most: int) -> list[tuple[int, int]]:
+    """(first, last) ``seq`` of consecutive runs of at most ``most`` messages each, in order; the driver gets one row per run.
+
+    Numbers follow from the order of range-partitioned files, so no task sees all messages.
+    """
+    ordered = stored(
+        messages.select("seq").repartitionByRange("seq").sortWithinPartitions("seq").withColumn("place", F.monotonically_increasing_id()),
+        "order",
+    ).withColumn("part", F.shiftright("place", 33))
+    parts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first_place"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    offsets = parts.select("part", "first_place", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = ordered.join(F.broadcast(offsets), "part").withColumn("number", F.expr("before + place - first_place"))
+    runs = numbered.groupBy(F.expr(f"number div {most}").alias("run")).agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    return [(row["first"], row["last"]) for row in runs.orderBy("run").select("first", "last").collect()]

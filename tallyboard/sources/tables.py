@@ -7,6 +7,8 @@ the same one.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +53,26 @@ def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None, so
         balanced = df.repartitionByRange(partition_by, sort_by).sortWithinPartitions(partition_by, sort_by)
     balanced.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
     return path
+
+
+@dataclass(frozen=True)
+class PatternStore:
+    """Versions of the category dictionary under ``root``; a version is there once its folder is whole."""
+
+    root: str
+
+    def publish(self, patterns: DataFrame, version: int) -> None:
+        patterns.write.mode("errorifexists").parquet(f"{self.root}/version={version}")
+
+    def version(self, spark: SparkSession) -> int | None:
+        """The latest whole version: folders are listed, nothing is read."""
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(root):
+            return None
+        found = [status.getPath() for status in files.listStatus(root)]
+        whole = [path for path in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))]
+        return max((int(path.getName().partition("=")[2]) for path in whole), default=None)
+
+    def read(self, spark: SparkSession, version: int) -> DataFrame:
+        return read_patterns(spark, f"{self.root}/version={version}")

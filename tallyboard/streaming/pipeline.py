@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyboard.functions.keys import valid_id
 from tallyboard.functions.periods import period_days
-from tallyboard.operators.classify import attach_category_id, classify, label_keys, unresolved_keys
+from tallyboard.operators.classify import Dictionary, attach_category_id, classify, prepared, unresolved_keys
+from tallyboard.operators.labelling import Labeller, answers, attempt_labels
 from tallyboard.operators.leaderboard import (
     daily_totals,
     excluded_entry,
@@ -28,22 +29,24 @@ from tallyboard.operators.leaderboard import (
     merged_days,
 )
 from tallyboard.operators.records import latest_per_id, new_usage_logs, set_by_id, update_counts, usage_log_insert
-from tallyboard.operators.sessions import session_scores, write_session_events
+from tallyboard.operators.sessions import session_outbox, write_session_events
 from tallyboard.schemas import (
     BATCH_METRICS,
     CATEGORIZED_PARTED,
     CATEGORY_UPDATES,
     DAILY_TOTALS,
     FOLDS,
+    LABEL_ATTEMPTS,
     OPEN_KEYS,
     SEEN_IDS,
-    SESSION_SCORES,
+    SENT,
+    SESSION_OUTBOX,
     UPDATE_COUNTS,
     USAGE_LOGS,
 )
 from tallyboard.session import configure, remove_path, scratch_scope, stored
-from tallyboard.sources.messages import normalize, without_repeats
-from tallyboard.sources.tables import read_batches, write_batch, write_snapshot
+from tallyboard.sources.messages import normalize, row_ranges, without_repeats
+from tallyboard.sources.tables import PatternStore, read_batches, write_batch, write_snapshot
 from tallyboard.sources.versioned import Published, VersionedTable, with_id_part
 
 #: Tables that lie in folders by a column, so that a reader of some days opens no others.
@@ -54,7 +57,7 @@ TABLES = {
     "usage_log_updates": CATEGORY_UPDATES,
     "categorized_updates": CATEGORY_UPDATES,
     "leaderboard_deltas": DAILY_TOTALS,
-    "session_scores": SESSION_SCORES,
+    "session_scores": SESSION_OUTBOX,
     "to_label": OPEN_KEYS,
     "seen_ids": SEEN_IDS,
     "update_counts": UPDATE_COUNTS,
@@ -99,13 +102,16 @@ class UsageJob:
     updates change there. ``fold_every`` batches, the ones before are folded.
     ``session_servers`` names brokers that get the session records too.
 
+    ``patterns``, versions of the dictionary, take the place of ``load_patterns``: one that has not changed is not looked at again.
+    A batch of more than ``most_rows`` messages is processed in runs of that many, as batches of their own; see ``part_id``.
+
     ``usage_logs`` and ``categorized`` are stored tables that the job keeps: every batch publishes a version of each with its
     categories, and counts what they change there. With ``append_logs`` a message without a usage-log id gets a row in
     ``usage_logs``, and a key that is new a row in ``categorized``.
     """
 
     sinks: Sinks
-    load_patterns: Callable[[], DataFrame]
+    load_patterns: Callable[[], DataFrame] | None = None
     load_labels: Callable[[], DataFrame] | None = None
     load_usage_logs: Callable[[], DataFrame] | None = None
     drop_repeats: bool = False
@@ -114,6 +120,9 @@ class UsageJob:
     usage_logs: VersionedTable | None = None
     categorized: VersionedTable | None = None
     append_logs: bool = False
+    patterns: PatternStore | None = None
+    most_rows: int | None = None
+    _known: dict[int, Dictionary] = field(default_factory=dict, repr=False, compare=False)
 
     def process(self, raw: DataFrame, batch_id: int) -> None:
         """Classify one batch and write every table.
@@ -124,17 +133,39 @@ class UsageJob:
         self.process_messages(normalize(raw), batch_id)
 
     def process_messages(self, messages: DataFrame, batch_id: int) -> None:
+        spark = messages.sparkSession
+        if self.most_rows:
+            with scratch_scope(spark):
+                runs = row_ranges(messages, self.most_rows)
+            for number, (first, last) in enumerate(runs or [(0, 0)]):
+                self._process_part(messages.where(F.col("seq").between(first, last)), part_id(batch_id, number))
+        else:
+            self._process_part(messages, batch_id)
+        if self.fold_every and batch_id and batch_id % self.fold_every == 0:
+            # Batches before this one never run again.
+            fold(spark, self.sinks, (part_id(batch_id, 0) if self.most_rows else batch_id) - 1)
+
+    def _process_part(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
         # A batch that runs again does not count until it is whole again.
         remove_path(spark, f"{self.sinks.metrics}/batch_id={batch_id}")
         with scratch_scope(spark):  # all that the batch needs is written by its end
             self._write_tables(messages, batch_id)
-        if self.fold_every and batch_id and batch_id % self.fold_every == 0:
-            fold(spark, self.sinks, batch_id - 1)  # batches before this one never run again
+        if self.session_servers:
+            send_sessions(spark, self.sinks, lambda events: write_session_events(events, self.session_servers))
+
+    def _dictionary(self, spark: SparkSession) -> Dictionary | DataFrame:
+        if self.patterns is None:
+            return self.load_patterns()
+        version = self.patterns.version(spark)
+        if version not in self._known:
+            self._known.clear()
+            self._known[version] = prepared(self.patterns.read(spark, version))
+        return self._known[version]
 
     def _write_tables(self, messages: DataFrame, batch_id: int) -> None:
         spark, sinks = messages.sparkSession, self.sinks
-        patterns = self.load_patterns()
+        patterns = self._dictionary(spark)
         labels = self.load_labels() if self.load_labels else None
         if self.drop_repeats:
             seen = batches(spark, sinks, "seen_ids").where(F.col("batch_id") < batch_id)
@@ -151,7 +182,7 @@ class UsageJob:
             write(updates.drop("session_date"), "usage_log_updates")
             write(latest_per_id(classified, "categorized_data_id", "category_id"), "categorized_updates")
             write(daily_totals(leaderboard_entries(classified)), "leaderboard_deltas")
-            write(session_scores(classified), "session_scores")
+            write(session_outbox(classified), "session_scores")
             write(unresolved_keys(classified), "to_label")
             if self.drop_repeats:
                 ids = classified.where(valid_id(F.col("usage_log_id")))
@@ -166,8 +197,6 @@ class UsageJob:
             elif counts:
                 row = [(counts.updates, counts.matched, counts.modified, counts.no_op)]
                 write(spark.createDataFrame(row, UPDATE_COUNTS), "update_counts")
-            if self.session_servers:
-                write_session_events(session_scores(classified), self.session_servers)
             write(batch_metrics(classified), "metrics")
         finally:
             classified.unpersist()
@@ -191,6 +220,15 @@ class UsageJob:
         self.start(raw_stream, interval=None, normalized=normalized).awaitTermination()
 
 
+#: Runs of one batch have numbers of their own within this many.
+PARTS = 1_000_000
+
+
+def part_id(batch_id: int, number: int) -> int:
+    """The batch number of a run of a batch; the same runs get the same numbers when the batch runs again."""
+    return batch_id * PARTS + number
+
+
 def usage_log_table(root: str) -> VersionedTable:
     """Stored usage logs by session date."""
     return VersionedTable(root, USAGE_LOGS, "usage_log_id")
@@ -414,18 +452,38 @@ def open_keys(spark: SparkSession, sinks: Sinks, learned_labels: DataFrame) -> D
 
 
 def label_open_keys(
-    spark: SparkSession, sinks: Sinks, labels_root: str, run_id: int, labeller, load_labels: Callable[[], DataFrame]
+    spark: SparkSession, sinks: Sinks, labels_root: str, run_id: int, labeller: Labeller, load_labels: Callable[[], DataFrame]
 ) -> None:
-    """Ask an external labeller for every open key and store its raw answers as one more label folder.
+    """Ask an external labeller for every open key that has tries left, and store its raw answers as one more label folder.
+
+    Runs beside the stream, which sees the answers from its next batch on. The ledger of tries is written first; a run that is tried
+    again under its number asks again and replaces its own rows.
+    """
+    root = sinks.table("label_attempts")
+    earlier = read_batches(spark, root, LABEL_ATTEMPTS).where(F.col("batch_id") != run_id).drop("batch_id")
+    write_batch(attempt_labels(open_keys(spark, sinks, load_labels()), earlier, labeller), root, run_id)
+    made = read_batches(spark, root, LABEL_ATTEMPTS).where(F.col("batch_id") == run_id)
+    write_batch(answers(made), labels_root, run_id)
+
+
+def send_sessions(spark: SparkSession, sinks: Sinks, send: Callable[[DataFrame], None]) -> int:
+    """Hand the session records of finished batches that were not sent yet to ``send``; returns the last batch sent.
 
-    Runs beside the stream, which sees the answers from its next batch on.
+    The position is noted after sending, so a failure in between sends those records again, with the event ids they had.
     """
-    answers = label_keys(open_keys(spark, sinks, load_labels()), labeller)
-    write_batch(answers, labels_root, run_id)
+    noted = read_batches(spark, sinks.table("sent"), SENT).agg(F.max("batch_id")).first()[0]
+    sent = -1 if noted is None else noted
+    last = batches(spark, sinks, "metrics").agg(F.max("batch_id")).first()[0]
+    if last is None or last <= sent:
+        return sent
+    events = batches(spark, sinks, "session_scores").where((F.col("batch_id") > sent) & (F.col("batch_id") <= last))
+    send(events.drop("batch_id"))
+    write_batch(spark.range(1).select(F.lit(events.count()).cast("bigint").alias("events")), sinks.table("sent"), last)
+    return last
 
 
 def current_session_scores(spark: SparkSession, sinks: Sinks) -> DataFrame:
-    return batches(spark, sinks, "session_scores")
+    return batches(spark, sinks, "session_scores").drop("event_id")
 
 
 def current_metrics(spark: SparkSession, sinks: Sinks) -> DataFrame:

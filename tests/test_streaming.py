@@ -18,6 +18,7 @@ from tallyboard.schemas import (
     BATCH_METRICS,
     CATEGORY_PATTERNS,
     CATEGORY_UPDATES,
+    LABEL_ATTEMPTS,
     LEARNED_LABELS,
     RAW_MESSAGES,
     USAGE_LOGS,
@@ -151,8 +152,8 @@ def test_a_failed_batch_runs_again(spark, source, tmp_path, monkeypatch):
     job = make_job(spark, tmp_path / "out")
     failures = iter([False, True])
 
-    def failing(df, root, batch_id):
-        write_batch(df, root, batch_id)
+    def failing(df, root, batch_id, *by):
+        write_batch(df, root, batch_id, *by)
         if root == job.sinks.metrics and next(failures, False):
             raise RuntimeError("lost after the write")
 
@@ -189,10 +190,10 @@ def test_a_batch_counts_when_it_is_whole(spark, source, tmp_path, monkeypatch):
     job.process(raw.where("seq < 60"), 0)
     before = tables(spark, job.sinks)
 
-    def broken(df, root, batch_id):
+    def broken(df, root, batch_id, *by):
         if root == job.sinks.metrics:
             raise RuntimeError("lost before the metrics")
-        write_batch(df, root, batch_id)
+        write_batch(df, root, batch_id, *by)
 
     with monkeypatch.context() as patch:
         patch.setattr(pl, "write_batch", broken)
@@ -217,8 +218,18 @@ def test_folds_change_nothing_and_old_batches_go(spark, source, tmp_path):
         opened = [rows_of(pl.open_keys(spark, job.sinks, labels(spark))) for job in (plain, folding)]
         assert opened[0] == opened[1]
     left = {r.batch_id for r in read_batches(spark, folding.sinks.metrics, BATCH_METRICS).collect()}
-    assert left == {2, 3}  # the last fold, of batches 0 to 2, keeps what the fold before did not hold
-    assert pl.last_fold(spark, folding.sinks)[0] == 2
+    assert left == {2, 3}  # the last fold, of batch 2, keeps what the folds before did not hold
+    listed = pl.folds(spark, folding.sinks)
+    assert [row.batch_id for row in listed] == [0, 1, 2]
+
+    # The last batch again, after its fold: nothing is folded twice, nothing is left over.
+    def folders():
+        return sorted(str(p) for p in (tmp_path / "folding" / "folded").glob("*/segment=*"))
+
+    held = folders()
+    folding.process(raw.where("seq % 4 = 3"), 3)
+    assert folders() == held and len(held) == 3 * len(pl.TABLES) and pl.fold(spark, folding.sinks, 2) is None
+    assert tables(spark, folding.sinks) == tables(spark, plain.sinks)
 
 
 def raw_message(seq, record_id=None, user="u", ts="1700000000"):
@@ -256,6 +267,134 @@ def test_update_counts_of_a_batch(spark, source, tmp_path):
     assert row.modified == sum(updates[i] != stored[i] for i in hit) and 0 < row.modified < row.matched < row.updates
 
 
+def test_closed_days_are_read_from_their_sums(spark, source, tmp_path):
+    """Deltas of closed days are not opened: without their files all boards stay the same."""
+    job, plain = make_job(spark, tmp_path / "out", fold_every=2), make_job(spark, tmp_path / "plain")
+    raw = read_raw(spark, source, "json")
+    for batch_id in range(5):
+        part = raw.where(F.col("seq") % 5 == batch_id)
+        job.process(part, batch_id)
+        plain.process(part, batch_id)
+        if batch_id in (2, 3):
+            assert pl.close_days(spark, job.sinks, dt.date(2023, 12, 5 * (batch_id - 1))) is not None
+        assert rows_of(pl.current_leaderboard(spark, job.sinks)) == rows_of(pl.current_leaderboard(spark, plain.sinks))
+    assert pl.close_days(spark, job.sinks, dt.date(2023, 12, 10)) > 0  # late messages of closed days
+    assert pl.close_days(spark, job.sinks, dt.date(2023, 12, 1)) is None
+    want = rows_of(pl.current_leaderboard(spark, plain.sinks))
+    gone = 0
+    for folder in [*(tmp_path / "out").glob("leaderboard_deltas/batch_id=*/day=*"), *(tmp_path / "out").glob("folded/leaderboard_deltas/*/day=*")]:
+        if folder.name < "day=2023-12-10":
+            for file in folder.glob("*"):
+                file.write_bytes(b"")  # no reader survives opening it
+                gone += 1
+    assert gone and rows_of(pl.current_leaderboard(spark, job.sinks)) == want
+    for kind, period in (("day", "2023-12-05"), ("week", "2023-W49"), ("month", "2023-M12"), ("month", "1970-M1")):
+        some = [row for row in want if row[1] == kind and row[2] == period]
+        assert rows_of(pl.current_board(spark, job.sinks, kind, period)) == some
+
+
+def test_the_job_keeps_its_stored_tables(spark, source, tmp_path):
+    logs = pl.usage_log_table(str(tmp_path / "logs"))
+    logs.publish(spark, -1, appended=stored_logs(spark))
+    keys = pl.categorized_table(str(tmp_path / "keys"))
+    job = make_job(spark, tmp_path / "out", usage_logs=logs, categorized=keys, append_logs=True, fold_every=2)
+    job.run_available(stream(spark, source))
+    stored = {r.usage_log_id: r.category_id for r in logs.read(spark).collect()}
+    want = {r[0]: r[3] for r in tables(spark, job.sinks)["logs"]}
+    assert {i: stored[i] for i in want} == want
+    unnamed = sum(seq % 17 == 0 for seq, _ in raw_rows())
+    assert len(stored) == len(want) + unnamed
+    assert {r.categorized_data_id: r.category_id for r in keys.read(spark).collect()} == dict(tables(spark, job.sinks)["categorized"])
+    assert pl.current_update_counts(spark, job.sinks).agg(F.sum("updates"), F.sum("matched")).first()[1] > 0
+    version = logs.version(spark)
+    job.process(read_raw(spark, source, "json").where("seq >= 80"), version)  # the last batch again
+    assert logs.version(spark) == version and logs.read(spark).count() == len(stored)
+
+
+def test_batches_of_bounded_size_and_a_dictionary_that_stays(spark, source, tmp_path, monkeypatch):
+    from tallyboard.operators import classify as cl_module
+    from tallyboard.sources.messages import row_ranges
+    from tallyboard.sources.tables import PatternStore
+
+    store = PatternStore(str(tmp_path / "patterns"))
+    store.publish(patterns(spark), 4)
+    loaded = []
+    real = cl_module.load_rules
+    monkeypatch.setattr(cl_module, "load_rules", lambda *a, **k: loaded.append(1) or real(*a, **k))
+    job = make_job(spark, tmp_path / "out", load_patterns=None, patterns=store, most_rows=25)
+    job.run_available(stream_raw(spark, source, "json"))
+    sizes = pl.current_metrics(spark, job.sinks).groupBy("batch_id").agg(F.sum("messages").alias("n")).collect()
+    assert sorted(r.n for r in sizes) == [20, 25, 25, 25, 25] and len(loaded) == 1
+    want = batch_tables(spark, source)
+    for name in ("leaderboard", "scores", "metrics", "logs"):
+        assert tables(spark, job.sinks)[name] == want[name]
+    messages = normalize(read_raw(spark, source, "json"))
+    assert row_ranges(messages, 50) == [(0, 49), (50, 99), (100, 119)]
+    assert row_ranges(messages.limit(0), 50) == []
+    assert store.version(spark) == 4 and PatternStore(str(tmp_path / "none")).version(spark) is None
+
+
+def test_a_job_leaves_no_scratch(spark, source, tmp_path):
+    from tallyboard.session import shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    many = [(hex_id(100 + n), "Design", [], [f"p{n}."], 10 + n) for n in range(20)]  # beyond one expression
+    job = make_job(spark, tmp_path / "out", load_patterns=lambda: patterns(spark).unionByName(spark.createDataFrame(many, CATEGORY_PATTERNS)))
+    raw = read_raw(spark, source, "json")
+    for batch_id in range(4):
+        job.process(raw.where(F.col("seq") % 4 == batch_id), batch_id)
+    job.process(raw.where("seq % 4 = 3"), 3)
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
+def test_sent_sessions_keep_their_ids(spark, source, tmp_path):
+    job = make_job(spark, tmp_path / "out")
+    raw = read_raw(spark, source, "json")
+    sent = []
+
+    def send(events):
+        sent.extend(r.event_id for r in events.collect())
+
+    job.process(raw.where("seq < 60"), 0)
+    pl.send_sessions(spark, job.sinks, send)
+    first = list(sent)
+    job.process(raw.where("seq < 60"), 0)  # again: the same records
+    assert pl.send_sessions(spark, job.sinks, send) == 0 and sent == first
+
+    def broken(events):
+        send(events)
+        raise RuntimeError("lost after sending")
+
+    job.process(raw.where("seq >= 60"), 1)
+    with pytest.raises(RuntimeError):
+        pl.send_sessions(spark, job.sinks, broken)
+    pl.send_sessions(spark, job.sinks, send)
+    assert len(set(sent)) == 24 and len(sent) == 24 + (24 - len(first))
+
+
+def test_bounded_repeats(spark, tmp_path):
+    from tallyboard.sources.messages import without_repeats_bounded
+
+    def put(name, *rows):
+        spark.createDataFrame(rows, RAW_MESSAGES).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+
+    def run():
+        messages = without_repeats_bounded(normalize(stream_raw(spark, str(tmp_path / "in"), "json")), "1 day")
+        writer = messages.select("seq").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+        writer.option("path", str(tmp_path / "o")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.seq for r in spark.read.parquet(str(tmp_path / "o")).collect())
+
+    day = 86_400
+    put("a", raw_message(1, hex_id(1), ts="1700000000"), raw_message(2, "bad-id"), raw_message(3, "bad-id"))
+    assert run() == [1, 2, 3]
+    put("b", raw_message(4, hex_id(1).upper(), ts=str(1_700_000_000 + 60)), raw_message(5, hex_id(2), ts=str(1_700_000_000 + 5 * day)))
+    assert run() == [1, 2, 3, 5]  # 4 repeats within the bound
+    put("c", raw_message(6, hex_id(9), ts=str(1_700_000_000 + 9 * day)))
+    run()
+    put("d", raw_message(7, hex_id(1), ts=str(1_700_000_000 + 9 * day)))
+    assert run() == [1, 2, 3, 5, 6, 7]  # beyond it the id counts again
+
+
 def test_arrival_follows_the_broker_time(spark):
     def record(partition, offset, second, app):
         value = f'{{"userId": "u", "app": "{app}", "categorizedDataId": "{hex_id(7)}"}}'
@@ -294,9 +433,10 @@ def test_labels_come_back_into_the_stream(spark, source, tmp_path):
     def load_labels():
         return read_batches(spark, labels_root, LEARNED_LABELS)
 
-    def labeller(batches):
-        for batch in batches:
-            yield batch.assign(label=["Game" if "safari" in p else None for p in batch.prompt])[["query", "label"]]
+    def labeller(prompts):
+        if any("t3" in p for p in prompts):
+            raise RuntimeError("no connection")
+        return ["Game" if "safari" in p else None for p in prompts]
 
     job = make_job(spark, tmp_path / "out", load_labels=load_labels)
     raw = read_raw(spark, source, "json")
@@ -307,7 +447,14 @@ def test_labels_come_back_into_the_stream(spark, source, tmp_path):
     }
     pl.label_open_keys(spark, job.sinks, labels_root, 0, labeller, load_labels)
     after = {r.query for r in pl.open_keys(spark, job.sinks, load_labels()).collect()}
-    assert after == {q for q in before if "safari" not in q} and len(after) < len(before)
+    assert after == {q for q in before if "safari" not in q or "t3" in q} and len(after) < len(before)
+    ledger = read_batches(spark, job.sinks.table("label_attempts"), LABEL_ATTEMPTS)
+    assert {r.query: r.outcome for r in ledger.collect()} == {
+        q: "failed" if "t3" in q else "answered" if "safari" in q else "no answer" for q in before}
+    for run in range(1, 7):
+        pl.label_open_keys(spark, job.sinks, labels_root, run, labeller, load_labels)
+    tries = read_batches(spark, job.sinks.table("label_attempts"), LABEL_ATTEMPTS).groupBy("query").agg(F.max("tries").alias("n"))
+    assert {r.n for r in tries.collect()} == {1, 5}  # what has no answer after five tries is left
     job.process(raw, 1)
     by_label = pl.current_metrics(spark, job.sinks).where("method = 'label'")
     assert [r.batch_id for r in by_label.collect()] == [1]
