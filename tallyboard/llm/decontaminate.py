@@ -67,10 +67,14 @@ class BenchmarkIndex:
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE):
         self.q = q
         self.items: list[Item] = []
+        self.short: dict[tuple[str, ...], list[int]] = {}  # words of an item too short for q-grams -> its ids
         grams, owner, place = [], [], []
         for item_id, text in items:
-            codes = _codes(normal_form(text or ""))
+            form = normal_form(text or "")
+            codes = _codes(form)
             if len(codes) < q:
+                if form:
+                    self.short.setdefault(tuple(form.split(" ")), []).append(item_id)
                 continue
             budget = edit_budget(len(codes), q, rate)
             h = _qgrams(codes, q)
@@ -88,6 +92,21 @@ class BenchmarkIndex:
         self.width = np.array([item.budget + 1 for item in self.items], np.int64)
         self.needed = np.array([item.needed for item in self.items], np.int64)
 
+    def whole_words(self, form: str) -> Iterator[tuple[int, int, int]]:
+        """(item id, start, end) in the normal form of the first place of each short item, word for word."""
+        words = form.split(" ")
+        for size in {len(key) for key in self.short}:
+            left = {key for key in self.short if len(key) == size}
+            for at in range(len(words) - size + 1):
+                key = tuple(words[at : at + size])
+                if key in left:
+                    left.remove(key)
+                    start = sum(map(len, words[:at])) + at
+                    for item_id in self.short[key]:
+                        yield item_id, start, start + len(" ".join(key))
+                    if not left:
+                        break
+
     def candidates(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, lowest, highest diagonal) of the bands that share enough q-grams with an item.
 
@@ -158,7 +177,7 @@ def passages(index: BenchmarkIndex, texts: list[str]) -> Iterator[tuple[int, int
     codes = _codes("\n".join(forms) + "\n")
     starts = np.cumsum([0] + [len(f) + 1 for f in forms])
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for i, low, high in index.candidates(codes):
+    for i, low, high in index.candidates(codes) if index.items else ():
         item = index.items[i]
         # The documents that the band crosses: usually one.
         first = int(np.searchsorted(starts, max(low, 0), "right")) - 1
@@ -183,22 +202,30 @@ def passages(index: BenchmarkIndex, texts: list[str]) -> Iterator[tuple[int, int
             spans[doc] = _word_spans(texts[doc])
         start = max(0, end - len(item.codes))
         yield doc, item.item_id, edits, *_original(spans[doc], start, end)
+    for doc, form in enumerate(forms if index.short else ()):
+        for item_id, start, end in index.whole_words(form):
+            yield doc, item_id, 0, *_original(_word_spans(texts[doc]), start, end)
 
 
-def _word_spans(text: str) -> list[tuple[int, int]]:
-    """Of the text in lower case; the rare letters that grow there move the spans after them."""
-    return [m.span() for m in _WORD.finditer(text.lower())]
+def _word_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, length in lower case) of each word; a letter may grow in lower case, so places there are led back."""
+    lower = text.lower()
+    found = [m.span() for m in _WORD.finditer(lower)]
+    if len(lower) == len(text):
+        return [(a, b, b - a) for a, b in found]
+    owner = [i for i, c in enumerate(text) for _ in c.lower()]
+    return [(owner[a], owner[b - 1] + 1, b - a) for a, b in found]
 
 
-def _original(words: list[tuple[int, int]], start: int, end: int) -> tuple[int, int]:
+def _original(words: list[tuple[int, int, int]], start: int, end: int) -> tuple[int, int]:
     """From positions in the normal form to code points of the text, whole words."""
     at, first, last = 0, None, 0
-    for a, b in words:
-        if at + (b - a) > start and first is None:
+    for a, b, size in words:
+        if at + size > start and first is None:
             first = a
         if at < end:
             last = b
-        at += b - a + 1
+        at += size + 1
         if at >= end:
             break
     return first or 0, last
@@ -212,6 +239,7 @@ def contaminated(
     q: int = Q,
     rate: float = EDIT_RATE,
     index_chars: int = INDEX_CHARS,
+    short_items: bool = True,
 ) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, edits, span_start, span_end.
 
@@ -223,8 +251,8 @@ def contaminated(
 
     Benchmark text is indexed and broadcast in parts of ``index_chars`` characters, so
     any amount of it is searched; the documents are read once per part and never shuffled.
-    An item whose normal form is shorter than q characters names no passage and is never found. Null texts
-    contain nothing and are contained nowhere. Items with one text are all found; repeated documents are repeated.
+    An item whose normal form is shorter than q characters is found where its words stand side by side, without
+    edits; with ``short_items`` false it is not looked for. Null texts and those without a word contain nothing and are contained nowhere. Items with one text are all found; repeated documents are repeated.
     """
     spark = documents.sparkSession
     items = benchmark.select(
@@ -241,10 +269,12 @@ def contaminated(
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = BenchmarkIndex(shared.value, q, rate)
+            if not short_items:
+                index.short = {}
             for batch in slices(batches, "body"):
                 texts = [t or "" for t in batch.column("body").to_pylist()]
                 ids = batch.column("doc_id").to_pylist()
-                hits = list(passages(index, texts)) if index.items else []
+                hits = list(passages(index, texts)) if index.items or index.short else []
                 columns = [
                     pa.array([ids[h[0]] for h in hits], pa.int64()),
                     pa.array([h[1] for h in hits], pa.int64()),

@@ -382,7 +382,7 @@ def letters(rng, n):
 def test_passages_within_the_edit_budget_are_found(spark, seed):
     rng = random.Random(seed)
     items = [(i, decontaminate.normal_form(letters(rng, rng.randrange(60, 200)))) for i in range(12)]
-    items += [(50, "short"), (51, None), (52, ""), (0, items[0][1])]
+    items += [(50, "short"), (51, None), (52, ""), (0, items[0][1]), (53, "a b"), (54, "e"), (55, "A b"), (56, "...")]
     rows = [(i, None if i == 3 else "") for i in range(5)]
     for i in range(60):
         item = items[i % 12][1]
@@ -394,7 +394,10 @@ def test_passages_within_the_edit_budget_are_found(spark, seed):
     want = set()
     for doc_id, text in rows:
         body = decontaminate.normal_form(text or "")
-        for item_id, item in items:
+        for item_id, raw in items:
+            item = decontaminate.normal_form(raw or "")
+            if item and len(item) < decontaminate.Q and f" {item} " in f" {body} ":
+                want.add((doc_id, item_id, 0))
             if item and len(item) >= decontaminate.Q:
                 edits = substring_distance(item, body)
                 if edits <= decontaminate.edit_budget(len(item), decontaminate.Q, decontaminate.EDIT_RATE):
@@ -409,6 +412,13 @@ def test_spans_point_at_the_passage(spark):
         docs(spark, [(1, text)]), spark.createDataFrame([(9, item)], "item_id long, text string")
     ).first()
     assert text[row.span_start : row.span_end] == item[:-1] and row.edits == 0
+    # Letters that grow in lower case stand before, inside and after.
+    grown = "\u0130\u0130\u0130 x " + item.replace("gamma", "gamm\u0130") + " \u0130nd 42 so"
+    bench = spark.createDataFrame([(9, item.replace("gamma", "gamm\u0130")), (8, "42")], "item_id long, text string")
+    rows = {r.item_id: r for r in decontaminate.contaminated(docs(spark, [(1, grown)]), bench).collect()}
+    assert grown[rows[9].span_start : rows[9].span_end] == item.replace("gamma", "gamm\u0130")[:-1]
+    assert grown[rows[8].span_start : rows[8].span_end] == "42"
+    assert decontaminate.contaminated(docs(spark, [(1, grown)]), bench, short_items=False).count() == 1
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(docs(spark, [(1, text)]), none).count() == 0
     assert decontaminate.contaminated(empty(spark), none).count() == 0
