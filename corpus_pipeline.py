@@ -23,9 +23,16 @@ def _named(documents: DataFrame) -> list:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(key, row, doc_id, text, source): the rows with a number of their own, written once so that it stays."""
-    whole = docs.select(F.struct(*_named(docs)).alias("row"), F.monotonically_increasing_id().alias("key"))
-    return stored(whole, "keyed").select("key", "row", "row.doc_id", "row.text", "row.source")
+    """(key, row, doc_id, text, source): the rows with a number of their own.
+
+    That is the doc_id, if every row has one and no two share it; else the rows are numbered and written once, so that the numbers stay.
+    """
+    row = F.struct(*_named(docs)).alias("row")
+    columns = ["key", "row", "row.doc_id", "row.text", "row.source"]
+    unclear = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        return docs.select(row, F.col("doc_id").cast("long").alias("key")).select(*columns)
+    return stored(docs.select(row, F.monotonically_increasing_id().alias("key")), "keyed").select(*columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +57,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
+    """Documents that hold no benchmark passage. Items of a word or two are no passages: clean documents hold them too."""
     rows = _keyed(docs)
-    found = decontaminate.contaminated(rows.select(F.col("key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    bodies = rows.select(F.col("key").alias("doc_id"), "text")
+    found = decontaminate.contaminated(bodies, table(spark, sf_dir, "benchmark"), short_items=False)
     dropped = stored(found.select(F.col("doc_id").alias("key")).distinct(), "contaminated")
     return rows.join(dropped, "key", "left_anti").select("row.*")
 
