@@ -40,6 +40,8 @@ DICTIONARY_BOUND = BroadcastBound(rows=200_000, text_bytes=16 << 20)
 EXPRESSION_PATTERNS = 16
 # Longest piece of a pattern used as a join key.
 LONGEST_GRAM = 4
+# Slots in which pieces of URLs are counted.
+SKETCH_SLOTS = 1 << 16
 
 EXPRESSION, MATCHER, JOIN = "expression", "matcher", "join"
 
@@ -100,45 +102,69 @@ def url_category_matcher(rules: Sequence[tuple[str, str]]):
     return F.pandas_udf(match, "string")
 
 
-def url_categories_by_join(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The rule as an equi-join: (url, category) for the distinct ``urls`` that match.
+def _gram_length(pattern: Column) -> Column:
+    size = F.char_length(pattern)
+    return F.when(size >= LONGEST_GRAM, LONGEST_GRAM).when(size >= 2, 2).otherwise(1)
 
-    Each pattern is keyed by its rarest piece of 1, 2 or 4 characters; each URL
-    offers its pieces of those lengths, and a hit is checked against the whole
-    pattern. The work per URL depends on its length, not on the dictionary.
-    """
-    sized = rules.withColumn("plen", F.char_length("pattern")).withColumn(
-        "gram_len",
-        F.when(F.col("plen") >= LONGEST_GRAM, LONGEST_GRAM)
-        .when(F.col("plen") >= 2, 2)
-        .otherwise(1),
-    )
-    pieces = sized.select(
-        "*", F.explode(F.sequence(F.lit(1), F.expr("plen - gram_len + 1"))).alias("at")
-    ).withColumn("gram", F.expr("substring(pattern, at, gram_len)"))
-    uses = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
-    anchors = (
-        pieces.join(uses, "gram")
-        .groupBy("pattern")
-        .agg(F.min(F.struct("uses", "at", "gram", "plen", "category")).alias("anchor"))
-        .select("pattern", "anchor.at", "anchor.gram", "anchor.plen", "anchor.category")
-    )
-    # At most three values; URLs offer only the lengths the dictionary uses.
-    lengths = [row.gram_len for row in sized.select("gram_len").distinct().collect()]
-    lengths_array = F.array(*map(F.lit, lengths)).cast("array<int>")
-    offered = (
+
+def gram_lengths(rules: DataFrame, rows: Sequence[Row] | None = None) -> list[int]:
+    """The lengths of pieces that a dictionary uses, at most three."""
+    if rows is not None:
+        return sorted({LONGEST_GRAM if len(row.pattern) >= LONGEST_GRAM else 2 if len(row.pattern) >= 2 else 1 for row in rows})
+    return sorted(row[0] for row in rules.select(_gram_length(F.col("pattern"))).distinct().collect())
+
+
+def _pieces(urls: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """(url, pos, gram): every piece of those lengths."""
+    each = F.explode(F.array(*map(F.lit, lengths)).cast("array<int>"))
+    return (
         urls.where(F.col("url") != "")
         .withColumn("whole", F.char_length("url"))
-        .select("url", "whole", F.explode(lengths_array).alias("gram_len"))
+        .select("url", "whole", each.alias("gram_len"))
         .where(F.col("whole") >= F.col("gram_len"))
         .select("url", "gram_len", F.explode(F.sequence(F.lit(1), F.expr("whole - gram_len + 1"))).alias("pos"))
         .select("url", "pos", F.expr("substring(url, pos, gram_len)").alias("gram"))
     )
-    if within_bound(anchors):
+
+
+def _slot(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(SKETCH_SLOTS)).cast("int")
+
+
+def anchors_of(rules: DataFrame, urls: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """(pattern, at, gram, plen, category): each pattern with its piece that is rarest among the URLs.
+
+    Pieces of the URLs are counted in SKETCH_SLOTS slots by a hash, so the counts are a table of bounded size; a slot that several
+    pieces share makes them look commoner, never rarer.
+    """
+    sketch = _pieces(urls, lengths).groupBy(_slot(F.col("gram")).alias("slot")).agg(F.count(F.lit(1)).alias("met"))
+    sized = rules.withColumns({"plen": F.char_length("pattern"), "gram_len": _gram_length(F.col("pattern"))})
+    pieces = sized.select(
+        "*", F.explode(F.sequence(F.lit(1), F.expr("plen - gram_len + 1"))).alias("at")
+    ).withColumn("gram", F.expr("substring(pattern, at, gram_len)"))
+    counted = pieces.withColumn("slot", _slot(F.col("gram"))).join(F.broadcast(sketch), "slot", "left")
+    rarest = F.min(F.struct(F.coalesce("met", F.lit(0)).alias("met"), "at", "gram", "plen", "category")).alias("anchor")
+    return counted.groupBy("pattern").agg(rarest).select("pattern", "anchor.at", "anchor.gram", "anchor.plen", "anchor.category")
+
+
+def url_categories_by_join(urls: DataFrame, rules: DataFrame, rows: Sequence[Row] | None = None) -> DataFrame:
+    """The rule as an equi-join: (url, category) for the distinct ``urls`` that match.
+
+    Each pattern is keyed by one piece of 1, 2 or 4 characters, the one that the URLs have least; each URL
+    offers its pieces of those lengths, and a hit is checked against the whole
+    pattern. The work per URL depends on its length, not on the dictionary. ``rows`` are the rules where they have been fetched.
+    """
+    lengths = gram_lengths(rules, rows)
+    if not lengths:
+        return urls.select("url", F.lit(None).cast("string").alias("url_category")).limit(0)
+    anchors = anchors_of(rules, urls, lengths)
+    if rows is None:
+        anchors = stored(anchors, "anchors")
+    if rows is not None or within_bound(anchors):
         # No piece is shuffled: those that anchor nothing go at once.
         anchors = F.broadcast(anchors)
     whole = F.expr("pos >= at AND substring(url, pos - at + 1, plen) = pattern")
-    matched = offered.join(anchors, "gram").where(whole)
+    matched = _pieces(urls, lengths).join(anchors, "gram").where(whole)
     best = matched.groupBy("url").agg(
         F.min(F.struct(F.expr("pos - at + plen").alias("end"), (-F.col("plen")).alias("len"), "category"))
         .alias("best")
@@ -194,7 +220,7 @@ def with_url_category(
         probed = messages.withColumn("url_probe", F.nullif(probe, F.lit("")))
         urls = probed.where(F.col("url_probe").isNotNull()).select(F.col("url_probe").alias("url")).distinct()
         frame = found.frame if found.rows is None else local_frame(found.frame, found.rows)
-        matched = url_categories_by_join(stored(urls, "urls"), frame).withColumnRenamed("url", "url_probe")
+        matched = url_categories_by_join(stored(urls, "urls"), frame, found.rows).withColumnRenamed("url", "url_probe")
         return attach(probed, stored(matched, "matched"), ["url_probe"]).drop("url_probe")
     pairs = [(row.pattern, row.category) for row in found.rows]
     if strategy == EXPRESSION or not pairs:

@@ -167,16 +167,52 @@ def test_later_answers_replace_earlier_ones(spark):
 
 
 def test_external_labeller_runs_once_per_key(spark):
-    msgs = messages(spark, *[("A", "t", "u")] * 5, ("b", "", ""))
-
-    def labeller(batches):
-        for batch in batches:
-            yield batch.assign(label=[" Game " if "a" in p else None for p in batch.prompt])[["query", "label"]]
+    from tallyboard.operators import labelling as lab
+    from tallyboard.schemas import LABEL_ATTEMPTS
 
-    docs = documents(spark)
-    answers = cl.label_keys(cl.unresolved_keys(cl.classify(msgs, docs)), labeller)
-    assert answers.count() == 2
-    assert [r.category for r in cl.classify(msgs, docs, answers).orderBy("seq").collect()][:5] == ["Game"] * 5
+    msgs = messages(spark, *[("A", "t", "u")] * 5, ("b", "", ""))
+    docs, none = documents(spark), spark.createDataFrame([], LABEL_ATTEMPTS)
+    open_keys = cl.unresolved_keys(cl.classify(msgs, docs))
+    made = lab.attempt_labels(open_keys, none, lambda prompts: [" Game " if "Title" in p else None for p in prompts]).cache()
+    assert sorted((r.tries, r.outcome) for r in made.collect()) == [(1, lab.ANSWERED), (1, lab.SILENT)]
+    assert [r.category for r in cl.classify(msgs, docs, lab.answers(made)).orderBy("seq").collect()][:5] == ["Game"] * 5
+
+
+@pytest.mark.parametrize("lot", [1, 7, 50])
+def test_a_failing_labeller_loses_only_its_own_keys(spark, lot):
+    from tallyboard.operators import labelling as lab
+    from tallyboard.schemas import LABEL_ATTEMPTS
+
+    keys = spark.createDataFrame([(f"q{i}", f"p{i}") for i in range(60)] + [("q1", "p1")], "query string, prompt string")
+
+    def labeller(prompts):
+        if any(p.endswith("3") for p in prompts):
+            raise RuntimeError("no connection")
+        return ["Game"] * (len(prompts) + ("p5" in prompts))  # one answer too many
+
+    ledger = spark.createDataFrame([], LABEL_ATTEMPTS)
+    for tries in range(1, 5):
+        more = lab.attempt_labels(keys, ledger, labeller, most_tries=3, lot=lot).collect()
+        ledger = spark.createDataFrame(ledger.collect() + more, LABEL_ATTEMPTS)
+        failing = {f"q{i}" for i in range(60) if i % 10 == 3 or i == 5}
+        assert {r.query for r in more} == ({f"q{i}" for i in range(60)} if tries == 1 else failing if tries <= 3 else set())
+        assert all((r.outcome == lab.FAILED) == (r.query in failing) and r.tries == tries for r in more)
+    assert lab.last_attempts(ledger).count() == 60 and lab.to_ask(keys, ledger, most_tries=3).count() == 0
+
+
+def test_patterns_are_anchored_at_what_urls_have_least(spark):
+    urls = [f"http://www.site{i}.com/a{i % 7}" for i in range(400)]
+    rules = [("http://www.site7.", "A"), ("www.site11.com/", "B"), (".com/a3", "C"), ("http", "D")]
+    frame = spark.createDataFrame(rules, "pattern string, category string")
+    table = spark.createDataFrame([(u,) for u in urls], "url string")
+    lengths = cl.gram_lengths(frame)
+    assert lengths == [4] == cl.gram_lengths(frame, frame.collect())
+    anchors = {r.pattern: r.gram for r in cl.anchors_of(frame, table, lengths).collect()}
+    for pattern, _ in rules[:3]:  # no piece that nearly all URLs have
+        assert sum(anchors[pattern] in u for u in urls) < 0.3 * len(urls)
+        assert min(sum(pattern[k : k + 4] in u for u in urls) for k in range(len(pattern) - 3)) == sum(anchors[pattern] in u for u in urls)
+    got = {r.url: r.url_category for r in cl.url_categories_by_join(table, frame).collect()}
+    assert got == {u: expected(rules, u) for u in urls}
 
 
 def test_category_ids(spark):

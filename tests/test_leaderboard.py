@@ -120,6 +120,40 @@ def test_ranks(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_sums_of_mixed_amounts(spark):
+    """Whole millionths, finer and larger amounts of both signs in one group, in any order: the exact sum, rounded once."""
+    from fractions import Fraction
+
+    rng = random.Random(9)
+    kinds = [lambda: rng.randrange(-(10**9), 10**9) / 100, lambda: rng.randrange(-(10**12), 10**12) / 10**6, lambda: rng.choice([0.1, -0.3, 1e-9, 5e-12]),
+             lambda: float(rng.randrange(-(10**14), 10**14)), lambda: 0.0, lambda: -999_999_999.999999]
+    rows = [(f"g{i % 40}", kinds[rng.randrange(len(kinds))]()) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "g string, d double")
+    got = [{r.g: r.t for r in frame.repartition(n).groupBy("g").agg(lb.total(F.col("d")).alias("t")).collect()} for n in (1, 6)]
+    assert got[0] == got[1]
+    want = {g: float(sum((Fraction(repr(d)) for h, d in rows if h == g), Fraction())) for g in got[0]}
+    assert got[0] == want
+
+
+def test_ranks_of_single_users(spark):
+    rng = random.Random(4)
+    rows = [("big", f"u{i:05d}", float(rng.choice([rng.randrange(40), rng.randrange(10**6) / 7, 0, -rng.randrange(50) / 3]))) for i in range(4000)]
+    rows += [("ties", f"u{i:05d}", 1.5) for i in range(500)] + [("one", "u00000", -0.0), ("far", "u1", 1.7e308), ("far", "u2", 5e-324), ("far", "u3", -1e300)]
+    board = spark.createDataFrame(rows, "key string, user_id string, score double")
+    asked = board.where("user_id rlike '[05]0$' or key = 'far'").select("key", "user_id").unionByName(
+        spark.createDataFrame([("big", "nobody"), ("none", "u00000")], "key string, user_id string"))
+    want = {}
+    for key in {r[0] for r in rows}:
+        for n, (s, u) in enumerate(sorted(((s, u) for k, u, s in rows if k == key), reverse=True), 1):
+            want[key, u] = (s, n)
+    found = lb.user_ranks(board, asked)
+    wanted = {(r.key, r.user_id) for r in asked.collect()} & want.keys()
+    assert {(r.key, r.user_id): (r.score, r["rank"]) for r in found.collect()} == {k: want[k] for k in wanted} and len(wanted) > 90
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+    assert lb.rank_index(board).groupBy("key").agg(F.sum("users").alias("n")).where("key = 'ties'").first().n == 500
+
+
 def test_session_scores_keep_repeats(spark):
     rows = [("u", dt.date(2024, 1, 5), 3, True)] * 2 + [("u", dt.date(1, 1, 1), 1, True), ("u", dt.date(2024, 1, 5), 4, False)]
     df = spark.createDataFrame(rows, "user_id string, session_date date, session_no bigint, is_end boolean")
