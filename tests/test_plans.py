@@ -6,7 +6,8 @@ from tallyboard.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 # These run jobs of their own before they return a frame.
-EAGER = {"stream_", "batch_metrics", "refresh_mapping", "leaderboard_delta_rollup"}
+EAGER = {"stream_", "batch_metrics", "refresh_mapping", "leaderboard_delta_rollup", "leaderboard_closed_days", "leaderboard_user_rank"}
+EAGER |= {"usage_log_publish", "usage_log_append", "categorized_publish", "label_attempts"}
 # The messages are read once, and once more where distinct keys are resolved apart (in a job before).
 SCANS = {"usage_log_set_category": 2, "usage_log_set_category_upper": 2, "categorized_set_category": 2, "categorized_find_many": 2}
 SCANS |= {"categorized_new_keys": 2, "usage_log_set_categorized": 2, "matched_updates": 2, "update_counters": 2}
