@@ -23,6 +23,7 @@ from tallyboard.session import configure, new_run_dir, stored
 from tallyboard.sources.messages import normalize, without_repeats_bounded
 from tallyboard.sources.tables import PatternStore, read_batches, write_batch
 from tallyboard.sources.versioned import with_id_part
+from tallyboard.streaming import live
 from tallyboard.streaming import pipeline as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -527,6 +528,22 @@ def stream_row_bound(spark, sf_dir):
     return pl.current_leaderboard(spark, sinks)
 
 
+@query
+def stream_usage_by_period(spark, sf_dir):
+    """Each day, week and month of a stream, given out as it closes; a message of another source, long after, closes the last."""
+    run = new_run_dir(spark, "periods")
+    messages = normalize(inputs.stream_raw_messages(spark, sf_dir))
+    inputs.closing_message(spark, sf_dir).select(*messages.columns).write.parquet(f"{run}/closing")
+    closing = spark.readStream.schema(messages.schema).parquet(f"{run}/closing")
+    classified = cl.classify(messages.unionByName(closing), inputs.category_patterns(spark))
+    writer = live.live_usage_by_period(classified, "1 day").writeStream.format("parquet")
+    writer = writer.option("checkpointLocation", f"{run}/checkpoint").option("path", f"{run}/usage")
+    with live.keyed_state(spark):
+        query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(live.PERIOD_USAGE).parquet(f"{run}/usage")
+
+
 @query
 def stream_sessions_sent(spark, sf_dir):
     """The session records handed on after each of three batches, the second of which runs twice."""

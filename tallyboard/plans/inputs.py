@@ -137,6 +137,12 @@ def stream_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from(events, table(spark, sf_dir, "pages"))
 
 
+def closing_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last message once more, ten years later: after it no period of the others is open."""
+    last = messages(spark, sf_dir).orderBy(F.col("seq").desc()).limit(1)
+    return last.withColumn("ts_epoch", F.col("ts_epoch") + F.lit(10 * 366 * 86400.0))
+
+
 def category_patterns(spark: SparkSession) -> DataFrame:
     rows = [(f"{ord_:024x}", category, apps, urls, ord_) for ord_, category, apps, urls in CATEGORY_DOCUMENTS]
     return spark.createDataFrame(rows, CATEGORY_PATTERNS).coalesce(1)

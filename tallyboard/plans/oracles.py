@@ -460,6 +460,11 @@ FROM positions WHERE category_id IN (SELECT category_id FROM patterns)""",
             f"""SELECT DISTINCT CASE WHEN usage_log_id = 'bad-id' THEN 'bad-id' ELSE {_hex_id("seq // 3")} END AS usage_log_id,
        CASE WHEN usage_log_id = 'bad-id' THEN seq END AS unnamed_seq
 FROM messages""",
+        ),
+        "stream_usage_by_period": _sql(
+            f"{NORMALIZED},{_cascade('normalized')},{DAILY}",
+            f"""SELECT period_kind, period, category, {_EXACT} AS total_duration, count(*) AS messages
+FROM fanned WHERE board = category GROUP BY period_kind, period, category""",
         ),
         "stream_row_bound": _sql(f"{CLASSIFIED_STREAM},{BOARD}", _LEADERBOARD_COLUMNS),
         "stream_sessions_sent": _sql(

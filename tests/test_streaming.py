@@ -26,7 +26,7 @@ from tallyboard.schemas import (
 )
 from tallyboard.sources.messages import from_json_records, normalize, read_raw, stream_raw
 from tallyboard.sources.tables import read_batches, write_batch
-from tallyboard.streaming import app
+from tallyboard.streaming import app, live
 from tallyboard.streaming import pipeline as pl
 
 FILES = 3
@@ -426,6 +426,53 @@ def test_live_daily_usage(spark, source):
     assert rows_of(spark.table("live_usage").select("user_id", "day", "duration")) == rows_of(want)
 
 
+def _periods_so_far(spark, root):
+    entries = spark.readStream.schema("category string, duration double, ts_epoch double").parquet(f"{root}/in/*")
+    writer = live.live_usage_by_period(entries, "1 day").writeStream.format("parquet").option("path", f"{root}/out")
+    with live.keyed_state(spark):
+        query = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(live.PERIOD_USAGE).parquet(f"{root}/out")
+
+
+def test_periods_are_given_out_as_they_close(spark, tmp_path):
+    """Three runs of one stream: the second closes a week that crosses a year's end, the third the months."""
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+    def add(name, *rows):
+        values = [(category, duration, day(*date)) for category, duration, date in rows]
+        spark.createDataFrame(values, "category string, duration double, ts_epoch double").write.parquet(f"{tmp_path}/in/{name}")
+
+    def day(*date):
+        return dt.datetime(*date, tzinfo=dt.UTC).timestamp()
+
+    def given_out():
+        return {(r.period_kind, r.period, r.category): (r.total_duration, r.messages) for r in _periods_so_far(spark, tmp_path).collect()}
+
+    # 2024-12-31 15:00 UTC is the first of January in the boards' zone; NaN and no duration are not counted.
+    add("a", ("A", 0.1, (2024, 12, 30, 1)), ("A", 0.2, (2024, 12, 31, 14, 59)), ("A", 0.4, (2024, 12, 31, 15)))
+    add("b", ("B", float("nan"), (2024, 12, 30, 2)), ("B", None, (2024, 12, 30, 3)))
+    assert given_out() == {("day", "2024-12-30", "A"): (0.1, 1)}  # over by a day, to the second
+    add("c", ("A", 1.0, (2025, 1, 4, 1)), ("B", 7.0, (2025, 1, 6, 16)))
+    first = given_out()
+    assert first == {
+        ("day", "2024-12-30", "A"): (0.1, 1),
+        ("day", "2024-12-31", "A"): (0.2, 1),
+        ("day", "2025-01-01", "A"): (0.4, 1),
+        ("day", "2025-01-04", "A"): (1.0, 1),
+        ("month", "2024-M12", "A"): (0.3, 2),
+        ("week", "2025-W1", "A"): (1.7, 4),
+    }
+    # Too late for any period; then the end of January and of a leap year's February.
+    add("d", ("A", 99.0, (2024, 12, 30, 5)), ("A", 0.5, (2025, 1, 31, 14)), ("C", 1.0, (2028, 2, 29, 14)), ("C", 1.0, (2028, 3, 5)))
+    last = given_out()
+    assert {key: value for key, value in last.items() if key in first} == first
+    assert last["month", "2025-M1", "A"] == (1.9, 3)
+    assert last["month", "2028-M2", "C"] == (1.0, 1)
+    assert ("month", "2028-M3", "C") not in last
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+
+
 def test_labels_come_back_into_the_stream(spark, source, tmp_path):
     """Open keys are answered outside the batch; the next batch uses the answers."""
     labels_root = str(tmp_path / "labels")
