@@ -429,7 +429,7 @@ def test_live_daily_usage(spark, source):
 def _periods_so_far(spark, root):
     entries = spark.readStream.schema("category string, duration double, ts_epoch double").parquet(f"{root}/in/*")
     writer = live.live_usage_by_period(entries, "1 day").writeStream.format("parquet").option("path", f"{root}/out")
-    with live.keyed_state(spark):
+    with live.keyed_state(spark, stores=2):
         query = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(live.PERIOD_USAGE).parquet(f"{root}/out")
