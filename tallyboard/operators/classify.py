@@ -351,9 +351,9 @@ def attach_category_id(classified: DataFrame, category_patterns: DataFrame | Dic
     return joined.select(*classified.columns, F.coalesce("category_id", F.lit(ZERO_ID)).alias("category_id"))
 
 
-def unresolved_keys(classified: DataFrame) -> DataFrame:
-    """Each distinct key no stage resolved, with the text a labeller is shown."""
+def unresolved_keys(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Each distinct key no stage resolved, with the text a labeller is shown; ``by`` names further columns of the key."""
     app = F.lower("app").alias("app")
-    keys = classified.where(F.col("method") == BY_DEFAULT).select(app, "title", "url").distinct()
+    keys = classified.where(F.col("method") == BY_DEFAULT).select(*by, app, "title", "url").distinct()
     parts = F.col("app"), F.col("title"), F.col("url")
-    return keys.select(label_query(*parts).alias("query"), *parts, label_prompt(*parts).alias("prompt"))
+    return keys.select(*by, label_query(*parts).alias("query"), *parts, label_prompt(*parts).alias("prompt"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,14 +19,14 @@ def is_work(category: Column) -> Column:
     return category.isin(*WORK_CATEGORIES)
 
 
-def leaderboard_entries(classified: DataFrame) -> DataFrame:
-    """(user_id, category, duration, ts_epoch) of the messages that can be counted.
+def leaderboard_entries(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(user_id, category, duration, ts_epoch) of the messages that can be counted, and the columns ``by``.
 
     A duration that is not finite, or a time outside the calendar, would spoil a
     total for good and is left out; ``excluded_entry`` counts such rows.
     """
     kept = classified.where(~excluded_entry())
-    return kept.select("user_id", "category", "duration", "ts_epoch")
+    return kept.select(*by, "user_id", "category", "duration", "ts_epoch")
 
 
 def excluded_entry() -> Column:
@@ -63,11 +65,11 @@ def total(amount: Column) -> Column:
     return F.when(other.isNull(), kept).otherwise(F.coalesce(kept, F.lit(0.0)) + other)
 
 
-def daily_totals(entries: DataFrame, zone: str = BOARD_ZONE) -> DataFrame:
-    """Duration per (user, category, local day): all that the boards need."""
+def daily_totals(entries: DataFrame, zone: str = BOARD_ZONE, by: Sequence[str] = ()) -> DataFrame:
+    """Duration per (user, category, local day): all that the boards need. ``by`` names further columns of the key."""
     return (
         entries.withColumn("day", board_day(F.col("ts_epoch"), zone))
-        .groupBy("user_id", "category", "day")
+        .groupBy(*by, "user_id", "category", "day")
         .agg(total(F.col("duration")).alias("duration"))
     )
 

@@ -127,19 +127,21 @@ def new_keys(keys: DataFrame, categorized_data: DataFrame) -> DataFrame:
 # Update-only: ids that are not stored change nothing, ids that are not ids are skipped.
 
 
-def latest_per_id(messages: DataFrame, record_id: str, value: str, also: Sequence[str] = ()) -> DataFrame:
+def latest_per_id(
+    messages: DataFrame, record_id: str, value: str, also: Sequence[str] = (), by: Sequence[str] = ()
+) -> DataFrame:
     """(record_id, value, seq) with the value that arrived last for each valid id, and ``also`` other columns of that message.
 
     Arrival is the broker's time where messages have it (``arrived``), then ``seq``.
-    Ids are bytes written in hexadecimal: upper and lower case are one id.
+    Ids are bytes written in hexadecimal: upper and lower case are one id. ``by`` names columns whose values are taken apart.
     """
     rows = messages.where(valid_id(F.col(record_id)))
     order = [name for name in ("arrived", "seq") if name in messages.columns]
-    latest = rows.groupBy(F.lower(record_id).alias("record_id")).agg(
+    latest = rows.groupBy(*by, F.lower(record_id).alias("record_id")).agg(
         F.max(F.struct(*order, F.col(value).alias("value"), *also)).alias("latest")
     )
     more = [f"latest.{name}" for name in also]
-    return latest.select("record_id", F.col("latest.value").alias(value), F.col("latest.seq").alias("seq"), *more)
+    return latest.select(*by, "record_id", F.col("latest.value").alias(value), F.col("latest.seq").alias("seq"), *more)
 
 
 def set_by_id(table: DataFrame, id_column: str, target: str, updates: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +18,13 @@ def session_scores(messages: DataFrame) -> DataFrame:
     )
 
 
-def session_outbox(messages: DataFrame) -> DataFrame:
-    """``session_scores`` with ``event_id``, derived from the message, so that a batch that runs again gives it again."""
+def session_outbox(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``session_scores`` with ``event_id``, derived from the message, so that a batch that runs again gives it again, and the columns ``by``."""
     names = [name for name in ("arrived", "seq") if name in messages.columns]
     event = derived_id(F.col("user_id"), F.col("session_date"), F.col("session_no"), *[F.col(name) for name in names])
     ended = messages.where("is_end").withColumn("event_id", event)
     day = F.date_format("session_date", "yyyy-MM-dd")
-    return ended.select("user_id", day.alias("session_date"), "session_no", "event_id")
+    return ended.select(*by, "user_id", day.alias("session_date"), "session_no", "event_id")
 
 
 def session_events(scores: DataFrame) -> DataFrame:

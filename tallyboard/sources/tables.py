@@ -30,6 +30,22 @@ def write_batch(df: DataFrame, root: str, batch_id: int, partition_by: str | Non
     writer.parquet(f"{root}/batch_id={batch_id}")
 
 
+def write_batches(df: DataFrame, root: str, partition_by: str | None = None) -> None:
+    """Replace the rows of all batches that ``df`` has, by its column ``batch_id``, in one job. Batches without a row are left as they are."""
+    by = ["batch_id", *([partition_by] if partition_by else [])]
+    # A batch's rows go to one task if they are few.
+    writer = df.hint("rebalance", *map(F.col, by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(root)
+
+
+def stored_batches(spark: SparkSession, root: str) -> list[int]:
+    """The numbers of the batches that have a folder under ``root``, whole or not."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
+    return [int(name.removeprefix("batch_id=")) for name in names if name.startswith("batch_id=")]
+
+
 def read_batches(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """All batches under ``root``, with their ``batch_id``; no rows if none was written yet."""
     full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -46,7 +46,7 @@ from tallyboard.schemas import (
 )
 from tallyboard.session import configure, remove_path, scratch_scope, stored
 from tallyboard.sources.messages import normalize, row_ranges, without_repeats
-from tallyboard.sources.tables import PatternStore, read_batches, write_batch, write_snapshot
+from tallyboard.sources.tables import PatternStore, read_batches, stored_batches, write_batch, write_batches, write_snapshot
 from tallyboard.sources.versioned import Published, VersionedTable, with_id_part
 
 #: Tables that lie in folders by a column, so that a reader of some days opens no others.
@@ -103,7 +103,9 @@ class UsageJob:
     ``session_servers`` names brokers that get the session records too.
 
     ``patterns``, versions of the dictionary, take the place of ``load_patterns``: one that has not changed is not looked at again.
-    A batch of more than ``most_rows`` messages is processed in runs of that many, as batches of their own; see ``part_id``.
+    A batch of more than ``most_rows`` messages is processed in runs of that many, as batches of their own; see ``part_id``. Runs that
+    need nothing of each other are written together, up to MOST_AT_ONCE messages at a time: one job for each table, whose folders are still
+    those of single runs. Where a run needs what the one before left in a stored table, it is processed by itself.
 
     ``usage_logs`` and ``categorized`` are stored tables that the job keeps: every batch publishes a version of each with its
     categories, and counts what they change there. With ``append_logs`` a message without a usage-log id gets a row in
@@ -137,20 +139,43 @@ class UsageJob:
         if self.most_rows:
             with scratch_scope(spark):
                 runs = row_ranges(messages, self.most_rows)
-            for number, (first, last) in enumerate(runs or [(0, 0)]):
-                self._process_part(messages.where(F.col("seq").between(first, last)), part_id(batch_id, number))
+            self._process_runs(messages, batch_id, runs or [(0, 0)])
         else:
             self._process_part(messages, batch_id)
         if self.fold_every and batch_id and batch_id % self.fold_every == 0:
             # Batches before this one never run again.
             fold(spark, self.sinks, (part_id(batch_id, 0) if self.most_rows else batch_id) - 1)
 
-    def _process_part(self, messages: DataFrame, batch_id: int) -> None:
+    def _process_runs(self, messages: DataFrame, batch_id: int, runs: list[tuple[int, int]]) -> None:
+        spark = messages.sparkSession
+        numbers = [(part_id(batch_id, number), first, last) for number, (first, last) in enumerate(runs)]
+        alone = self.usage_logs or self.categorized or self.load_usage_logs
+        at_once = 1 if alone else max(1, min(MOST_RUNS, MOST_AT_ONCE // self.most_rows))
+        for start in range(0, len(numbers), at_once):
+            some = numbers[start : start + at_once]
+            (run, first, _), (_, _, last) = some[0], some[-1]
+            within = messages.where(F.col("seq").between(first, last))
+            if len(some) == 1:
+                self._process_part(within, run)
+                continue
+            limits = spark.createDataFrame(some, "batch_id long, run_first long, run_last long")
+            among = F.col("seq").between(F.col("run_first"), F.col("run_last"))
+            dealt = within.join(F.broadcast(limits), among).drop("run_first", "run_last")
+            self._process_part(dealt, run, some[-1][0])
+
+    def _process_part(self, messages: DataFrame, batch_id: int, upto: int | None = None) -> None:
+        """One batch, or those from ``batch_id`` up to ``upto`` together, if ``messages`` say in a column ``batch_id`` which one is theirs."""
         spark = messages.sparkSession
         # A batch that runs again does not count until it is whole again.
-        remove_path(spark, f"{self.sinks.metrics}/batch_id={batch_id}")
+        if upto is None:
+            remove_path(spark, f"{self.sinks.metrics}/batch_id={batch_id}")
+        else:
+            for name in ("metrics", *TABLES):
+                for again in stored_batches(spark, self.sinks.table(name)):
+                    if batch_id <= again <= upto:
+                        remove_path(spark, f"{self.sinks.table(name)}/batch_id={again}")
         with scratch_scope(spark):  # all that the batch needs is written by its end
-            self._write_tables(messages, batch_id)
+            self._write_tables(messages, batch_id, upto)
         if self.session_servers:
             send_sessions(spark, self.sinks, lambda events: write_session_events(events, self.session_servers))
 
@@ -163,7 +188,7 @@ class UsageJob:
             self._known[version] = prepared(self.patterns.read(spark, version))
         return self._known[version]
 
-    def _write_tables(self, messages: DataFrame, batch_id: int) -> None:
+    def _write_tables(self, messages: DataFrame, batch_id: int, upto: int | None = None) -> None:
         spark, sinks = messages.sparkSession, self.sinks
         patterns = self._dictionary(spark)
         labels = self.load_labels() if self.load_labels else None
@@ -174,19 +199,24 @@ class UsageJob:
         # Read by all writes below. A lost block is computed again from the source.
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
 
+        by = [] if upto is None else ["batch_id"]
+
         def write(df: DataFrame, name: str) -> None:
-            write_batch(df, sinks.table(name), batch_id, PARTED.get(name))
+            if by:
+                write_batches(df, sinks.table(name), PARTED.get(name))
+            else:
+                write_batch(df, sinks.table(name), batch_id, PARTED.get(name))
 
         try:
-            updates = latest_per_id(classified, "usage_log_id", "category_id", ["session_date"])
+            updates = latest_per_id(classified, "usage_log_id", "category_id", ["session_date"], by)
             write(updates.drop("session_date"), "usage_log_updates")
-            write(latest_per_id(classified, "categorized_data_id", "category_id"), "categorized_updates")
-            write(daily_totals(leaderboard_entries(classified)), "leaderboard_deltas")
-            write(session_outbox(classified), "session_scores")
-            write(unresolved_keys(classified), "to_label")
+            write(latest_per_id(classified, "categorized_data_id", "category_id", by=by), "categorized_updates")
+            write(daily_totals(leaderboard_entries(classified, by), by=by), "leaderboard_deltas")
+            write(session_outbox(classified, by), "session_scores")
+            write(unresolved_keys(classified, by), "to_label")
             if self.drop_repeats:
                 ids = classified.where(valid_id(F.col("usage_log_id")))
-                write(ids.select(F.lower("usage_log_id").alias("record_id")).distinct(), "seen_ids")
+                write(ids.select(*by, F.lower("usage_log_id").alias("record_id")).distinct(), "seen_ids")
             counts = None
             if self.usage_logs:
                 counts = publish_usage_logs(self.usage_logs, batch_id, classified, updates, self.append_logs)
@@ -197,7 +227,7 @@ class UsageJob:
             elif counts:
                 row = [(counts.updates, counts.matched, counts.modified, counts.no_op)]
                 write(spark.createDataFrame(row, UPDATE_COUNTS), "update_counts")
-            write(batch_metrics(classified), "metrics")
+            write(batch_metrics(classified, by), "metrics")
         finally:
             classified.unpersist()
 
@@ -222,6 +252,9 @@ class UsageJob:
 
 #: Runs of one batch have numbers of their own within this many.
 PARTS = 1_000_000
+#: Runs are written together up to so many messages, and so many runs, as each message is compared with the limits of each.
+MOST_AT_ONCE = 2_000_000
+MOST_RUNS = 500
 
 
 def part_id(batch_id: int, number: int) -> int:
@@ -262,10 +295,10 @@ def publish_categorized(table: VersionedTable, version: int, classified: DataFra
     return table.publish(spark, version, new, updates, "category_id")
 
 
-def batch_metrics(classified: DataFrame) -> DataFrame:
-    """Messages per classification method, with the counts that explain missing output."""
+def batch_metrics(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Messages per classification method, with the counts that explain missing output; ``by`` names further columns of the key."""
 
-    return classified.groupBy("method").agg(
+    return classified.groupBy(*by, "method").agg(
         F.count(F.lit(1)).alias("messages"),
         F.count_if(excluded_entry()).alias("excluded"),
         F.count_if(~valid_id(F.col("usage_log_id"))).alias("invalid_ids"),
