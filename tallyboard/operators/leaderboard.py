@@ -38,6 +38,7 @@ def excluded_entry() -> Column:
 #: Amounts are counted in millionths, and the sum of those in two parts that cannot overflow.
 _UNIT = 1_000_000
 _PART = 1 << 20
+_HELD = 1 << 31
 
 
 def total(amount: Column) -> Column:
@@ -62,7 +63,10 @@ def total(amount: Column) -> Column:
     )
     overflowed = F.sum(F.when(fits, amount)) + F.coalesce(counted_sum.cast("double"), F.lit(0.0))
     kept = F.coalesce(exact, overflowed)
-    return F.when(other.isNull(), kept).otherwise(F.coalesce(kept, F.lit(0.0)) + other)
+    rest = F.when(other.isNull(), kept).otherwise(F.coalesce(kept, F.lit(0.0)) + other)
+    # Millionths that a double holds to the last one: their quotient is the same without decimals, and nearly all sums are such.
+    held = F.coalesce(fine.isNull() & other.isNull() & (F.abs(high) < _HELD) & (low < _HELD * _PART), F.lit(False))
+    return F.when(held, (high * _PART + low).cast("double") / _UNIT).otherwise(rest)
 
 
 def daily_totals(entries: DataFrame, zone: str = BOARD_ZONE, by: Sequence[str] = ()) -> DataFrame:
@@ -106,22 +110,28 @@ def leaderboard(entries: DataFrame, zone: str = BOARD_ZONE) -> DataFrame:
     then small (categories times days), so one exchange by user serves every
     board and period.
     """
-    daily = daily_totals(entries, zone).repartition("user_id")
-    return _rolled_up(fan_out(daily))
+    return _rolled_up(daily_totals(entries, zone).repartition("user_id"))
 
 
-def _rolled_up(rows: DataFrame) -> DataFrame:
-    return (
-        rows.groupBy("user_id", "board", "period_kind", "period")
+def _rolled_up(daily: DataFrame) -> DataFrame:
+    """``fan_out`` and the sums, with periods as their first days until those are made."""
+    boards = daily.select("user_id", "day", "duration", F.explode(boards_of(F.col("category"))).alias("board"))
+    firsts = ((DAY, F.col("day")), (WEEK, F.trunc("day", "week")), (MONTH, F.trunc("day", "month")))
+    each = F.array(*[F.struct(F.lit(kind).alias("period_kind"), first.alias("first")) for kind, first in firsts])
+    sums = (
+        boards.select("user_id", "board", "duration", F.inline(each))
+        .groupBy("user_id", "board", "period_kind", "first")
         .agg(total(F.col("duration")).alias("score"))
-        .select(
-            "board",
-            "period_kind",
-            "period",
-            board_key(F.col("board"), F.col("period")).alias("key"),
-            "user_id",
-            "score",
-        )
+    )
+    day, kind = F.col("first"), F.col("period_kind")
+    period = F.when(kind == DAY, day_period(day)).when(kind == WEEK, week_period(day)).otherwise(month_period(day))
+    return sums.select("board", "period_kind", period.alias("period"), "user_id", "score").select(
+        "board",
+        "period_kind",
+        "period",
+        board_key(F.col("board"), F.col("period")).alias("key"),
+        "user_id",
+        "score",
     )
 
 
@@ -132,8 +142,7 @@ def merged_days(deltas: DataFrame) -> DataFrame:
 
 def merge_deltas(deltas: DataFrame) -> DataFrame:
     """Leaderboard from the per-batch daily totals, whatever their order or number."""
-    daily = merged_days(deltas)
-    return _rolled_up(fan_out(daily.repartition("user_id")))
+    return _rolled_up(merged_days(deltas).repartition("user_id"))
 
 
 def usage_by_period(entries: DataFrame, zone: str = BOARD_ZONE) -> DataFrame:

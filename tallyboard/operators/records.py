@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from tallyboard.functions.keys import id_or_derived, valid_id
@@ -137,13 +137,18 @@ def latest_per_id(
     """
     rows = messages.where(valid_id(F.col(record_id)))
     order = [name for name in ("arrived", "seq") if name in messages.columns]
-    latest = rows.groupBy(*by, F.lower(record_id).alias("record_id")).agg(
+    latest = by_id(rows.withColumn("record_id", F.lower(record_id)), "record_id", by).agg(
         F.max(F.struct(*order, F.col(value).alias("value"), *also)).alias("latest")
     )
     more = [f"latest.{name}" for name in also]
     return latest.select(*by, "record_id", F.col("latest.value").alias(value), F.col("latest.seq").alias("seq"), *more)
 
 
+def by_id(rows: DataFrame, record_id: str, by: Sequence[str] = ()) -> GroupedData:
+    """Groups by id. Their texts begin alike, which makes sorting slow, as aggregates of texts do; a hash in front decides most comparisons."""
+    return rows.groupBy(F.xxhash64(record_id).alias("id_hash"), *by, record_id)
+
+
 def set_by_id(table: DataFrame, id_column: str, target: str, updates: DataFrame) -> DataFrame:
     """``table`` with ``target`` replaced where ``updates`` (record_id, target, …) has the row's id.
 

@@ -10,6 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +29,7 @@ from tallyboard.operators.leaderboard import (
     merge_deltas,
     merged_days,
 )
-from tallyboard.operators.records import latest_per_id, new_usage_logs, set_by_id, update_counts, usage_log_insert
+from tallyboard.operators.records import by_id, latest_per_id, new_usage_logs, set_by_id, update_counts, usage_log_insert
 from tallyboard.operators.sessions import session_outbox, write_session_events
 from tallyboard.schemas import (
     BATCH_METRICS,
@@ -44,7 +45,7 @@ from tallyboard.schemas import (
     UPDATE_COUNTS,
     USAGE_LOGS,
 )
-from tallyboard.session import configure, remove_path, scratch_scope, stored
+from tallyboard.session import configure, remove_path, scratch_scope, side_by_side, stored
 from tallyboard.sources.messages import normalize, row_ranges, without_repeats
 from tallyboard.sources.tables import PatternStore, read_batches, stored_batches, write_batch, write_batches, write_snapshot
 from tallyboard.sources.versioned import Published, VersionedTable, with_id_part
@@ -210,13 +211,17 @@ class UsageJob:
         try:
             updates = latest_per_id(classified, "usage_log_id", "category_id", ["session_date"], by)
             write(updates.drop("session_date"), "usage_log_updates")
-            write(latest_per_id(classified, "categorized_data_id", "category_id", by=by), "categorized_updates")
-            write(daily_totals(leaderboard_entries(classified, by), by=by), "leaderboard_deltas")
-            write(session_outbox(classified, by), "session_scores")
-            write(unresolved_keys(classified, by), "to_label")
+            # The first write has filled the cache.
+            others = {
+                "categorized_updates": latest_per_id(classified, "categorized_data_id", "category_id", by=by),
+                "leaderboard_deltas": daily_totals(leaderboard_entries(classified, by), by=by),
+                "session_scores": session_outbox(classified, by),
+                "to_label": unresolved_keys(classified, by),
+            }
             if self.drop_repeats:
                 ids = classified.where(valid_id(F.col("usage_log_id")))
-                write(ids.select(*by, F.lower("usage_log_id").alias("record_id")).distinct(), "seen_ids")
+                others["seen_ids"] = ids.select(*by, F.lower("usage_log_id").alias("record_id")).distinct()
+            side_by_side(spark, [partial(write, rows, name) for name, rows in others.items()])
             counts = None
             if self.usage_logs:
                 counts = publish_usage_logs(self.usage_logs, batch_id, classified, updates, self.append_logs)
@@ -343,7 +348,7 @@ def batches(spark: SparkSession, sinks: Sinks, name: str) -> DataFrame:
 
 
 def _last_updates(rows: DataFrame) -> DataFrame:
-    last = rows.groupBy("record_id").agg(F.max(F.struct("batch_id", "seq", "category_id")).alias("last"))
+    last = by_id(rows, "record_id").agg(F.max(F.struct("batch_id", "seq", "category_id")).alias("last"))
     return last.select("record_id", "last.category_id", "last.seq")
 
 
@@ -359,6 +364,7 @@ def fold(spark: SparkSession, sinks: Sinks, upto: int) -> str | None:
     if upto <= after:
         return None
     segment = f"{upto}-{uuid.uuid4().hex}"
+    writes = []
     for name in TABLES:
         rows = _unfolded(spark, sinks, name, after).where(F.col("batch_id") <= upto)
         if name.endswith("_updates"):
@@ -369,7 +375,8 @@ def fold(spark: SparkSession, sinks: Sinks, upto: int) -> str | None:
             rows = rows.drop("batch_id").distinct()
         if "batch_id" not in rows.columns:
             rows = rows.withColumn("batch_id", F.lit(upto).cast("bigint"))
-        write_snapshot(rows, _segment(sinks, name, segment), PARTED.get(name))
+        writes.append(partial(write_snapshot, rows, _segment(sinks, name, segment), PARTED.get(name)))
+    side_by_side(spark, writes)
     write_batch(spark.range(1).select(F.lit(segment).alias("segment")), sinks.folds, upto)
     _retire(spark, sinks, after)
     return segment

@@ -5,6 +5,7 @@ import os
 import random
 import subprocess
 import sys
+import threading
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -334,6 +335,39 @@ def test_batches_of_bounded_size_and_a_dictionary_that_stays(spark, source, tmp_
     assert store.version(spark) == 4 and PatternStore(str(tmp_path / "none")).version(spark) is None
 
 
+def test_runs_of_a_batch_are_written_together(spark, source, tmp_path, monkeypatch):
+    monkeypatch.setattr(pl, "MOST_AT_ONCE", 80)
+    parts, real = [], pl.UsageJob._process_part
+    monkeypatch.setattr(pl.UsageJob, "_process_part", lambda self, *a: parts.append(a[1:]) or real(self, *a))
+    job, first = make_job(spark, tmp_path / "out", most_rows=20), make_job(spark, tmp_path / "first")
+    raw = read_raw(spark, source, "json")
+    job.process(raw, 0)
+    assert parts == [(0, 3), (4, 5)]
+    # Each run is a batch of its own, with the rows that it has when it is processed alone.
+    first.process(raw.where("seq between 20 and 39"), 1)
+    stale = pl.batches(spark, first.sinks, "to_label").drop("batch_id")
+    write_batch(stale.select(F.lit("old").alias("query"), "app", "title", "url", "prompt"), job.sinks.table("to_label"), 1)
+    job.process(raw, 0)  # again, after a run that failed
+    for name in set(pl.TABLES) - {"seen_ids", "update_counts"}:
+        assert rows_of(pl.batches(spark, job.sinks, name).where("batch_id = 1")) == rows_of(pl.batches(spark, first.sinks, name))
+    sizes = pl.current_metrics(spark, job.sinks).groupBy("batch_id").agg(F.sum("messages").alias("n")).collect()
+    assert sorted((r.batch_id, r.n) for r in sizes) == [(n, 20) for n in range(6)]
+
+
+def test_tables_of_a_batch_are_written_side_by_side(spark, source, tmp_path, monkeypatch):
+    meeting = threading.Barrier(2, timeout=60)
+
+    def meets(df, root, *more):
+        if root.endswith(("session_scores", "to_label")):
+            meeting.wait()
+        write_batch(df, root, *more)
+
+    monkeypatch.setattr(pl, "write_batch", meets)
+    job = make_job(spark, tmp_path / "out")
+    job.process(read_raw(spark, source, "json"), 0)
+    assert pl.current_session_scores(spark, job.sinks).count() == 24
+
+
 def test_a_job_leaves_no_scratch(spark, source, tmp_path):
     from tallyboard.session import shared_dir
 
